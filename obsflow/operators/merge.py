@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ def except_rows(batch: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def first_per_key(
-    batch: DataFrame, keys: list[str], order_by: list[str | Column] | None = None
+    batch: DataFrame, keys: list[str], order_by: list[str] | None = None
 ) -> DataFrame:
     """The first row of each key.
 
@@ -24,22 +24,27 @@ def first_per_key(
     on partitioning. Spark keeps one row per key in each task before it shuffles, which
     takes the weight off hot keys.
     """
-    others = [
+    order = list(order_by or [])
+    order += [
         f.name for f in batch.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, T.MapType)
+        if f.name not in keys and f.name not in order and not isinstance(f.dataType, T.MapType)
     ]
-    order = [*(order_by or []), *others] or keys
+    order = order or keys
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return batch.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
 def new_keys(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the batch whose key the target does not hold."""
-    return batch.join(target.select(*keys), keys, "left_anti")
+    """Rows of the batch whose key the target does not hold.
+
+    Target keys are made distinct, so a key the target holds very often costs one row per
+    task. The shuffle this takes is the one the join needs anyway.
+    """
+    return batch.join(target.select(*keys).distinct(), keys, "left_anti")
 
 
 def new_rows(
-    batch: DataFrame, target: DataFrame, keys: list[str], order_by: list[str | Column] | None = None
+    batch: DataFrame, target: DataFrame, keys: list[str], order_by: list[str] | None = None
 ) -> DataFrame:
     """What an insert that skips stored keys would add.
 
@@ -53,7 +58,7 @@ def merge_insert_only(
     batch: DataFrame,
     table: BaseTable,
     on_duplicate: str = "error",
-    order_by: list[str | Column] | None = None,
+    order_by: list[str] | None = None,
 ) -> None:
     """Append the rows whose key is not stored yet. First writer wins.
 
@@ -65,20 +70,20 @@ def merge_insert_only(
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
     spark = batch.sparkSession
     table.create(spark)
-    texts = [f.name for f in table.columns if isinstance(f.dataType, T.StringType)]
-    unique = table.keys if on_duplicate == "error" else None
-    assert_clean(batch, table.required, texts, unique)
     batch = table.conform(batch)
     target = table.read(spark)
+    texts = [f.name for f in table.columns if isinstance(f.dataType, T.StringType)]
+    unique = table.keys if on_duplicate == "error" else None
+    span = {}
     if table.partition is not None:
+        span = {"low": F.min(table.partition), "high": F.max(table.partition)}
+    found = assert_clean(batch, table.required, texts, unique, **span)
+    if found["rows"] == 0:
+        return
+    if span:
         # The partition value follows from the key, so only the partitions the
         # batch spans can hold one of its keys.
-        span = batch.agg(
-            F.min(table.partition).alias("low"), F.max(table.partition).alias("high")
-        ).first()
-        if span.low is None:
-            return
-        target = target.filter(F.col(table.partition).between(span.low, span.high))
+        target = target.filter(F.col(table.partition).between(found["low"], found["high"]))
     if on_duplicate == "first":
         batch = first_per_key(batch, table.keys, order_by)
     table.append(new_keys(batch, target, table.keys))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot when it holds more than this share of the rows ...
 HOT_SHARE = 500
@@ -40,7 +41,8 @@ def salted_join(
     hot = F.broadcast(
         hot_keys(facts.select(*keys), keys, share).select(*keys, F.lit(spread).alias("_spread"))
     )
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(spread)).cast("int")
+    hashed = [f.name for f in facts.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(spread)).cast("int")
     spread_facts = facts.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_spread").isNotNull(), salt).otherwise(F.lit(0))
     )

@@ -19,7 +19,7 @@ from obsflow.schemas import (
     LOCATION,
     LOCATION_KEY,
 )
-from obsflow.session import pin_utc, work_folder
+from obsflow.session import pin_utc, staging_folder
 from obsflow.sinks.tables import BaseTable, publish_view
 from obsflow.sources.documents import read_weather_documents
 
@@ -77,7 +77,7 @@ def load_documents(
     ``run`` names the batch: a repeated run replaces its own rejects and adds nothing.
     """
     spark = documents.sparkSession
-    staged = stage(documents, work_folder(spark, "documents"))
+    staged = stage(documents, staging_folder(spark, store.root))
     good, rejected = split_documents(staged)
     rejected.write.mode("overwrite").json(store.rejected(run))
     merge_insert_only(flatten_hourly(good), store.hourly, on_duplicate)

@@ -16,11 +16,18 @@ from obsflow.sinks.files import land_documents
 
 # A document holds observations of this many consecutive event numbers at most, which
 # bounds its size however many events one location has.
-EVENTS_PER_DOCUMENT = 240
+EVENTS_PER_DOCUMENT = 4096
+
+
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def comparable(rows: DataFrame) -> DataFrame:

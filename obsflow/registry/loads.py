@@ -107,12 +107,12 @@ def except_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers without an order."""
-    customers = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("custkey"), "c_name"
+    """Orders without a line."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("orderkey"), "o_totalprice"
     )
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"))
-    return new_keys(customers, orders, ["custkey"])
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"))
+    return new_keys(orders, lines, ["orderkey"])
 
 
 def dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,8 +244,8 @@ SELECT CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longit
        strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, CAST(temp AS DOUBLE) AS temp
 FROM fresh""",
     "anti_join_new_keys": """
-SELECT c_custkey AS custkey, c_name FROM customer
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""",
+SELECT o_orderkey AS orderkey, o_totalprice FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
     "dup_keys": """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS rows
 FROM lineitem GROUP BY ALL HAVING count(*) > 1""",

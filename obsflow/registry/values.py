@@ -12,7 +12,7 @@ from obsflow.plans.orders import order_totals
 from obsflow.registry.inputs import OBSERVATIONS_SQL, observations, table
 from obsflow.sources.requests import request_grid, resolve_locations
 
-ORDERS_PER_DOCUMENT = 64
+ORDERS_PER_DOCUMENT = 512
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,12 +39,12 @@ def default_or_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of a customer as JSON objects of order and price, of bounded length."""
+    """Orders of one priority as JSON objects of order and price, of bounded length."""
     pair = F.struct(F.col("o_orderkey").cast("string").alias("key"), F.col("o_totalprice"))
     bucket = F.expr(f"o_orderkey DIV {ORDERS_PER_DOCUMENT}").alias("bucket")
     return (
         table(spark, sf_dir, "orders")
-        .groupBy("o_custkey", bucket)
+        .groupBy("o_orderpriority", bucket)
         .agg(F.to_json(F.map_from_entries(F.collect_list(pair))).alias("document"))
     )
 
@@ -52,14 +52,14 @@ def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = order_totals(_order_documents(spark, sf_dir))
     return totals.select(
-        "o_custkey", "bucket", F.round("total_order_value", 2).alias("total"), "message"
+        "o_orderpriority", "bucket", F.round("total_order_value", 2).alias("total"), "message"
     )
 
 
 def map_total_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     amounts = _order_documents(spark, sf_dir).withColumn("amounts", parse_amounts(F.col("document")))
-    totals = total_by(amounts, ["o_custkey"], "amounts")
-    return totals.select("o_custkey", F.round("total", 2).alias("total"))
+    totals = total_by(amounts, ["o_orderpriority"], "amounts")
+    return totals.select("o_orderpriority", F.round("total", 2).alias("total"))
 
 
 def format_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,13 +164,13 @@ SELECT c_custkey, latitude, longitude FROM requests
 WHERE NOT (coalesce(trim(latitude), '') = '' AND coalesce(trim(longitude), '') = '')""",
     "map_total": f"""
 WITH totals AS (
-    SELECT o_custkey, o_orderkey // {ORDERS_PER_DOCUMENT} AS bucket,
+    SELECT o_orderpriority, o_orderkey // {ORDERS_PER_DOCUMENT} AS bucket,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM orders GROUP BY ALL
 )
 SELECT *, printf('Total order value is: %.2f', total) AS message FROM totals""",
     "map_total_by_key": """
-SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders GROUP BY ALL""",
     "format_stamp": """
 SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS seconds, strftime(ts, '%Y%m%d%H%M%S%f') AS micros

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -29,11 +30,11 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_folder(spark: SparkSession, label: str) -> str:
-    """A new folder for tables written between two steps of one job.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables written between two steps of a job.
 
-    It lies under ``spark.checkpoint.dir``, which on a cluster is shared storage.
-    Only a local session may leave that unset, and then gets a temporary folder.
+    On a cluster ``spark.checkpoint.dir`` names it, on shared storage. Only a local session
+    may leave that unset, and then gets a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -41,4 +42,14 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         shared = tempfile.mkdtemp(prefix="obsflow-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new folder, not used by any other step."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staging_folder(spark: SparkSession, owner: str) -> str:
+    """The one folder that every run for ``owner`` overwrites."""
+    return f"{shared_folder(spark)}/staging-{hashlib.sha256(owner.encode()).hexdigest()[:16]}"
