@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,16 +15,18 @@ def pages(bundles: DataFrame) -> DataFrame:
     Accepts every layout of ``entry``: an array of entries, a struct or map from
     row label to such an array, or an array of pages.
     """
+    return bundles.select(F.explode(_listed(bundles)).alias("page"))
+
+
+def _listed(bundles: DataFrame) -> Column:
     kind = bundles.schema["entry"].dataType
     if isinstance(kind, T.MapType):
-        listed = F.map_values("entry")
-    elif isinstance(kind, T.StructType):
-        listed = F.array(*[F.col("entry").getField(name) for name in kind.names])
-    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
-        listed = F.col("entry")
-    else:
-        listed = F.array("entry")
-    return bundles.select(F.explode(listed).alias("page"))
+        return F.map_values("entry")
+    if isinstance(kind, T.StructType):
+        return F.array(*[F.col("entry").getField(name) for name in kind.names])
+    if isinstance(kind.elementType, T.ArrayType):
+        return F.col("entry")
+    return F.array("entry")
 
 
 def explode_entries(bundles: DataFrame, dedupe: str | None = "page") -> DataFrame:
@@ -46,10 +48,8 @@ def explode_entries(bundles: DataFrame, dedupe: str | None = "page") -> DataFram
 
 def reconcile_totals(bundles: DataFrame, by: list[str]) -> DataFrame:
     """Declared against extracted number of entries, per group."""
-    size = F.coalesce(F.size("entry"), F.lit(0))
-    if isinstance(bundles.schema["entry"].dataType.elementType, T.ArrayType):
-        sizes = F.transform("entry", lambda page: F.coalesce(F.size(page), F.lit(0)))
-        size = F.coalesce(F.aggregate(sizes, F.lit(0), lambda acc, n: acc + n), F.lit(0))
+    sizes = F.transform(_listed(bundles), lambda page: F.coalesce(F.size(page), F.lit(0)))
+    size = F.coalesce(F.aggregate(sizes, F.lit(0), lambda acc, n: acc + n), F.lit(0))
     return (
         bundles.select(*by, "total", size.alias("_size"))
         .groupBy(*by)

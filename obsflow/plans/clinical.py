@@ -23,15 +23,17 @@ def raw_to_bronze(
     resources: Iterable[str] = BUNDLE_RESOURCES,
     entry_types: Mapping[str, T.StructType] = ENTRY_TYPES,
     fmt: str = "parquet",
+    layout: str = "auto",
 ) -> list[str]:
     """Each resource folder as a table of entries, repeated pages dropped.
 
     Resources without a declared entry type have theirs inferred, which reads
-    the folder twice.
+    the folder twice. Naming the ``layout`` of the landed bundles saves a second parse.
     """
     written = []
     for resource in resources:
-        bundles = read_bundles(spark, layer_path(root, "raw", resource), entry_types.get(resource))
+        folder = layer_path(root, "raw", resource)
+        bundles = read_bundles(spark, folder, entry_types.get(resource), layout)
         entries = explode_entries(bundles, dedupe="page")
         written.append(write_layer(entries, root, "bronze", resource, fmt, evolve=True))
     return written

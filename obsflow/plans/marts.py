@@ -33,6 +33,11 @@ def _average() -> Column:
     return F.round(mean, AVERAGE_SCALE).cast("decimal(18,2)")
 
 
+def _day(hourly: DataFrame) -> Column:
+    """The stored day where there is one, so that a filter on a mart's date prunes files."""
+    return F.col("obs_date") if "obs_date" in hourly.columns else F.to_date("datetime")
+
+
 def _days_by_location(
     hourly: DataFrame, locations: DataFrame, scale: int = COORDINATE_SCALE
 ) -> DataFrame:
@@ -42,7 +47,7 @@ def _days_by_location(
     a large one is shuffled along with the summaries.
     """
     days = summarize(
-        with_rounded_key(hourly, scale), [*ROUNDED_KEY, F.to_date("datetime").alias("date")]
+        with_rounded_key(hourly, scale), [*ROUNDED_KEY, _day(hourly).alias("date")]
     )
     return days.join(keyed_locations(locations, scale), ROUNDED_KEY)
 

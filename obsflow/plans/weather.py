@@ -60,24 +60,27 @@ class WeatherStore:
         return f"{self.root}/rejected/run={run}"
 
 
-def stage(rows: DataFrame, folder: str) -> DataFrame:
-    """Write a batch once and go on from the stored copy.
+def stage(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    """Write a batch once and go on from the stored copy, in the given session.
 
     Text is parsed a single time; checks and merges then read only the columns they need.
     """
     rows.write.mode("overwrite").parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
 def load_documents(
-    documents: DataFrame, store: WeatherStore, run: str, on_duplicate: str = "error"
+    spark: SparkSession,
+    documents: DataFrame,
+    store: WeatherStore,
+    run: str,
+    on_duplicate: str = "error",
 ) -> None:
     """Screen one batch of documents and merge it into the base tables.
 
     ``run`` names the batch: a repeated run replaces its own rejects and adds nothing.
     """
-    spark = documents.sparkSession
-    staged = stage(documents, staging_folder(spark, store.root))
+    staged = stage(spark, documents, staging_folder(spark, store.root))
     good, rejected = split_documents(staged)
     rejected.write.mode("overwrite").json(store.rejected(run))
     merge_insert_only(flatten_hourly(good), store.hourly, on_duplicate)
@@ -112,5 +115,6 @@ def refresh_weather(
     """
     pin_utc(spark)
     merge_insert_only(locations, store.location, on_duplicate)
-    load_documents(read_weather_documents(spark, landing), store, run, on_duplicate)
+    documents = read_weather_documents(spark, landing)
+    load_documents(spark, documents, store, run, on_duplicate)
     return publish_marts(spark, store)

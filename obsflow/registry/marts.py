@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.operators.enrich import lookup_location
+from obsflow.operators.nearest import nearest_location, write_place_index
 from obsflow.operators.rounded_join import join_on_rounded
 from obsflow.plans import marts
 from obsflow.registry.inputs import (
@@ -18,6 +19,7 @@ from obsflow.registry.inputs import (
     points,
     table,
 )
+from obsflow.session import work_folder
 from obsflow.sinks.tables import publish_view
 from obsflow.sources.tables import read_query
 
@@ -72,6 +74,11 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_location(points(spark, sf_dir), locations(spark, sf_dir))
 
 
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_place_index(locations(spark, sf_dir), work_folder(spark, "places"))
+    return nearest_location(points(spark, sf_dir), index)
+
+
 def view_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A published mart read by name, its first rows in a total order."""
     publish_view(
@@ -92,6 +99,7 @@ QUERIES = {
     "monthly_peak_orders": monthly_peak_orders,
     "rounded_join_rows": rounded_join_rows,
     "lookup_location": lookup,
+    "nearest_location": nearest,
     "view_head": view_head,
 }
 
@@ -161,6 +169,29 @@ SELECT CAST(p.latitude AS DOUBLE) AS latitude, CAST(p.longitude AS DOUBLE) AS lo
        l.city, l.state, l.postcode, l.country
 FROM points p LEFT JOIN locations l
   ON round(l.latitude, 4) = round(p.latitude, 4) AND round(l.longitude, 4) = round(p.longitude, 4)""",
+    "nearest_location": f"""
+WITH {LOCATIONS_SQL}, {POINTS_SQL}, places AS (
+    SELECT city, state, postcode, country, radians(CAST(round(latitude, 4) AS DOUBLE)) AS lat,
+           radians(CAST(round(longitude, 4) AS DOUBLE)) AS lon
+    FROM locations
+), sphere AS (
+    SELECT *, cos(lat) * cos(lon) AS x, cos(lat) * sin(lon) AS y, sin(lat) AS z FROM places
+), asked AS (
+    SELECT latitude, longitude, radians(CAST(latitude AS DOUBLE)) AS lat,
+           radians(CAST(longitude AS DOUBLE)) AS lon
+    FROM points
+), near AS (
+    SELECT a.latitude, a.longitude,
+           arg_min({{'city': city, 'state': state, 'postcode': postcode, 'country': country}},
+                   pow(x - cos(lat_a) * cos(lon_a), 2) + pow(y - cos(lat_a) * sin(lon_a), 2)
+                   + pow(z - sin(lat_a), 2)) AS place
+    FROM (SELECT latitude, longitude, lat AS lat_a, lon AS lon_a FROM asked) a, sphere
+    GROUP BY ALL
+)
+SELECT CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+       place.city AS city, place.state AS state, place.postcode AS postcode,
+       place.country AS country
+FROM near""",
     "view_head": f"""
 WITH {JOINED_SQL}
 SELECT country, state, city, {_DAY} AS date,

@@ -69,7 +69,9 @@ def reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = work_folder(spark, "landing")
     events.select(line.alias("value")).write.text(folder)
-    documents = stage(read_weather_documents(spark, folder), work_folder(spark, "documents"))
+    documents = stage(
+        spark, read_weather_documents(spark, folder), work_folder(spark, "documents")
+    )
     good, rejected = split_documents(documents)
     kept = flatten_hourly(good).select(
         F.lit("good").alias("reason"), F.unix_timestamp("datetime").alias("event"), "temp"

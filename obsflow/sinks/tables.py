@@ -66,10 +66,12 @@ class BaseTable:
         """Add conformed rows.
 
         A rebalance by partition value keeps files few and still splits a value
-        that holds much of the batch over several tasks.
+        that holds much of the batch over several tasks. The writer sorts by partition
+        value anyway; sorting by key as well makes files compress and skip better.
         """
         if self.partition:
             rows = rows.hint("rebalance", F.col(self.partition))
+            rows = rows.sortWithinPartitions(self.partition, *self.keys)
         if self.is_path:
             writer = rows.write.mode("append")
             if self.partition:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,31 +35,51 @@ def with_lineage(documents: DataFrame) -> DataFrame:
 
 
 def read_bundles(
-    spark: SparkSession, path: str | list[str], entry_type: T.StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    entry_type: T.StructType | None = None,
+    layout: str = "auto",
 ) -> DataFrame:
     """Bundles of one resource folder as ``total`` and ``entry``.
 
-    With ``entry_type`` the two layouts on disk are both accepted, even mixed in one
-    folder, without an inference pass:
+    With ``entry_type`` there is no inference pass, and two layouts are understood:
 
     * plain: ``{"total": 2, "entry": [..]}``
     * columnar: ``{"total": {"0": 2}, "entry": {"0": [..]}}``, one or more row labels
 
-    ``entry`` is then an array of pages. Without it the schema is inferred over the
-    whole folder, and ``entry`` comes back as it lies on disk.
+    ``layout="auto"`` accepts both, even mixed in one folder, and gives an array of pages;
+    it looks at each entry as text first. A folder of one known layout is parsed
+    in one go, and ``entry`` is then an array of entries or a map of row label to such.
+    Without ``entry_type`` the schema is inferred over the whole folder.
     """
+    if layout not in ("auto", "plain", "columnar"):
+        raise ValueError(f"unknown layout: {layout}")
     if entry_type is None:
         return spark.read.json(path)
-    raw = spark.read.schema("total string, entry string").json(path)
     page = T.ArrayType(entry_type)
     labelled = T.MapType(T.StringType(), page)
+    if layout == "plain":
+        return spark.read.schema(_bundle(T.LongType(), page)).json(path)
+    if layout == "columnar":
+        totals = T.MapType(T.StringType(), T.LongType())
+        return spark.read.schema(_bundle(totals, labelled)).json(path).withColumn(
+            "total", _sum(F.map_values("total"))
+        )
+    raw = spark.read.schema(_bundle(T.StringType(), T.StringType())).json(path)
     text = F.ltrim("entry")
     pages = F.when(
         F.startswith(text, F.lit("{")), F.map_values(F.from_json("entry", labelled))
     ).otherwise(F.array(F.from_json("entry", page)))
     totals = F.map_values(F.from_json("total", T.MapType(T.StringType(), T.LongType())))
-    total = F.when(
-        F.startswith(F.ltrim("total"), F.lit("{")),
-        F.aggregate(totals, F.lit(0).cast("long"), lambda acc, n: acc + n),
-    ).otherwise(F.col("total").try_cast("long"))
+    total = F.when(F.startswith(F.ltrim("total"), F.lit("{")), _sum(totals)).otherwise(
+        F.col("total").try_cast("long")
+    )
     return raw.select(total.alias("total"), F.when(F.col("entry").isNotNull(), pages).alias("entry"))
+
+
+def _bundle(total: T.DataType, entry: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("total", total), T.StructField("entry", entry)])
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda acc, n: acc + F.coalesce(n, F.lit(0)))

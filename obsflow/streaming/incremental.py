@@ -16,12 +16,14 @@ def run_available(
     checkpoint: str,
     files_per_batch: int | None = None,
     on_duplicate: str = "first",
+    archive: str | None = None,
 ) -> None:
     """Merge all files not seen yet, then stop. Meant to be started once a day.
 
     The checkpoint takes each file once across restarts. Should a batch be repeated after
     a failure, the merge skips what it stored already, so the outcome is the same.
-    ``files_per_batch`` bounds the work of one batch; older files go first.
+    ``files_per_batch`` bounds the work of one batch; older files go first. With ``archive``
+    loaded files are moved to that folder, so that the landing folder stays quick to list.
     """
     pin_utc(spark)
     stream = (
@@ -33,8 +35,12 @@ def run_available(
     if files_per_batch is not None:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
 
+    if archive is not None:
+        stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+
     def load(batch: DataFrame, number: int) -> None:
-        load_documents(batch, store, f"batch-{number}", on_duplicate)
+        # The session of the caller, unlike the one of the stream, plans adaptively.
+        load_documents(spark, batch, store, f"batch-{number}", on_duplicate)
 
     (
         stream.json(landing)

@@ -39,10 +39,15 @@ def ids(entries):
 
 
 @pytest.mark.parametrize("schema", [None, PATIENT_ENTRY])
-@pytest.mark.parametrize("wrap", [lambda b: b, lambda b: columnar(b)])
-def test_both_layouts(spark, tmp_path, schema, wrap):
+@pytest.mark.parametrize("layout", ["plain", "columnar"])
+@pytest.mark.parametrize("told", [True, False])
+def test_both_layouts(spark, tmp_path, schema, layout, told):
+    wrap = columnar if layout == "columnar" else lambda bundle: bundle
     path = write(tmp_path / "b", wrap(ONE), wrap(ONE), wrap(TWO))
-    bundles = read_bundles(spark, path, schema)
+    bundles = read_bundles(spark, path, schema, layout if told else "auto")
+    if schema is not None:
+        row = reconcile_totals(bundles, []).first()
+        assert (row.declared, row.extracted) == (7, 6)
     assert ids(explode_entries(bundles, "page")) == ["1", "2", "2", "3"]
     assert ids(explode_entries(bundles, "entry")) == ["1", "2", "3"]
     assert ids(explode_entries(bundles, None)) == ["1", "1", "2", "2", "2", "3"]
@@ -65,6 +70,8 @@ def test_unknown_dedupe(spark, tmp_path):
     bundles = read_bundles(spark, write(tmp_path / "b", ONE), PATIENT_ENTRY)
     with pytest.raises(ValueError):
         explode_entries(bundles, "row")
+    with pytest.raises(ValueError):
+        read_bundles(spark, str(tmp_path), PATIENT_ENTRY, "rows")
 
 
 def test_pages_are_deduplicated_by_tasks_first(spark, tmp_path):

@@ -45,7 +45,7 @@ def landing(tmp_path):
 
 def test_split_names_the_reason(spark, landing, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("staged"))
-    documents = stage(read_weather_documents(spark, landing), folder)
+    documents = stage(spark, read_weather_documents(spark, landing), folder)
     good, rejected = split_documents(documents)
     assert good.count() == 3
     assert sorted(r.reason for r in rejected.collect()) == ["corrupt", "empty", "incomplete"]

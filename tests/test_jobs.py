@@ -86,3 +86,43 @@ def test_incremental_takes_each_file_once_and_survives_a_lost_checkpoint(spark,
     # All files again, as after the loss of the checkpoint: the merge skips them.
     run_available(spark, str(landing), store, str(tmp_path / "new-offsets"))
     assert store.hourly.read(spark).count() == 3
+
+
+def test_date_filter_on_a_mart_prunes_files(spark, tmp_path, locations):
+    store = WeatherStore(str(tmp_path / "store"))
+    land(tmp_path / "landing", "1", document(1, [1, 2]))
+    land(tmp_path / "landing", "2", document(2, [3, 4]))
+    refresh_weather(spark, str(tmp_path / "landing"), store, locations, "r")
+    frame = spark.sql(f"SELECT * FROM {DAILY_STATS_VIEW} WHERE date = DATE '2024-01-02'")
+    scan = next(line for line in frame._jdf.queryExecution().executedPlan().toString().splitlines()
+                if "FileScan" in line and "temp#" in line)
+    assert "obs_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "humidity" not in scan
+    assert frame.first().max_temperature == D("4")
+
+
+def test_incremental_merges_plan_adaptively(spark, tmp_path, monkeypatch):
+    from obsflow.sinks.tables import BaseTable
+
+    seen = []
+    append = BaseTable.append
+
+    def watch(self, rows):
+        seen.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        append(self, rows)
+
+    monkeypatch.setattr(BaseTable, "append", watch)
+    land(tmp_path / "landing", "1", document(1, [1, 2]))
+    run_available(spark, str(tmp_path / "landing"), WeatherStore(str(tmp_path / "store")),
+                  str(tmp_path / "offsets"))
+    assert seen == ["true", "true"]
+
+
+def test_incremental_archives_loaded_files(spark, tmp_path):
+    store = WeatherStore(str(tmp_path / "store"))
+    for number in (1, 2, 3):
+        land(tmp_path / "landing", str(number), document(number, [1, 2]))
+        run_available(spark, str(tmp_path / "landing"), store, str(tmp_path / "offsets"),
+                      archive=str(tmp_path / "archive"))
+    assert store.hourly.read(spark).count() == 6
+    assert len(list((tmp_path / "archive").rglob("*.json"))) >= 1
