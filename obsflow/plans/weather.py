@@ -20,8 +20,10 @@ from obsflow.schemas import (
     LOCATION_KEY,
 )
 from obsflow.session import pin_utc, staging_folder
+from obsflow.sinks.files import write_headerless_csv
 from obsflow.sinks.tables import BaseTable, publish_view
 from obsflow.sources.documents import read_weather_documents
+from obsflow.sources.tables import read_headerless_csv
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,29 @@ def load_documents(
     merge_insert_only(flatten_current(good), store.current, on_duplicate)
 
 
+def export_flat_csv(spark: SparkSession, landing: str | list[str], folder: str) -> None:
+    """Landed documents as two folders of headerless CSV, for loading elsewhere.
+
+    The documents are stored once and read twice, each time only the half that is needed.
+    """
+    pin_utc(spark)
+    documents = read_weather_documents(spark, landing)
+    good, _ = split_documents(stage(spark, documents, staging_folder(spark, folder)))
+    write_headerless_csv(flatten_hourly(good), f"{folder}/hourly_weather")
+    write_headerless_csv(flatten_current(good), f"{folder}/current_weather")
+
+
+def load_flat_csv(
+    spark: SparkSession, folder: str, store: WeatherStore, on_duplicate: str = "error"
+) -> None:
+    """Merge two such folders into the base tables, through a staging copy of each."""
+    pin_utc(spark)
+    for name, table in (("hourly_weather", store.hourly), ("current_weather", store.current)):
+        rows = read_headerless_csv(spark, f"{folder}/{name}", table.schema)
+        staged = stage(spark, rows, staging_folder(spark, f"{store.root}/{name}"))
+        merge_insert_only(staged, table, on_duplicate)
+
+
 def publish_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFrame]:
     """The two marts as views over the base tables."""
     store.hourly.create(spark)

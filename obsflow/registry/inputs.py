@@ -134,81 +134,78 @@ def average_sql(value: str) -> str:
 
 # --- documents ---------------------------------------------------------------
 
-# Entry fields computed from the event number, in one wording for both engines.
+# Entry fields computed from an event, in one wording for both engines. ``{e}`` stands for
+# the event the columns belong to.
 ENTRY_FIELDS = {
-    "temp": "value",
-    "feels_like": "CAST(event_id % 35 AS DOUBLE)",
-    "pressure": "CAST(980 + event_id % 60 AS DOUBLE)",
-    "humidity": "CAST(event_id % 100 AS DOUBLE)",
-    "dew_point": "CAST(event_id % 40 - 10 AS DOUBLE)",
-    "uvi": "CAST(event_id % 110 AS DOUBLE) / CAST(10 AS DOUBLE)",
-    "clouds": "CAST(event_id % 101 AS DOUBLE)",
-    "visibility": "CAST(10000 - event_id % 500 AS DOUBLE)",
-    "wind_speed": "CAST(event_id % 250 AS DOUBLE) / CAST(10 AS DOUBLE)",
-    "wind_deg": "CAST(event_id % 360 AS DOUBLE)",
+    "temp": "{e}value",
+    "feels_like": "CAST({e}event_id % 35 AS DOUBLE)",
+    "pressure": "CAST(980 + {e}event_id % 60 AS DOUBLE)",
+    "humidity": "CAST({e}event_id % 100 AS DOUBLE)",
+    "dew_point": "CAST({e}event_id % 40 - 10 AS DOUBLE)",
+    "uvi": "CAST({e}event_id % 110 AS DOUBLE) / CAST(10 AS DOUBLE)",
+    "clouds": "CAST({e}event_id % 101 AS DOUBLE)",
+    "visibility": "CAST(10000 - {e}event_id % 500 AS DOUBLE)",
+    "wind_speed": "CAST({e}event_id % 250 AS DOUBLE) / CAST(10 AS DOUBLE)",
+    "wind_deg": "CAST({e}event_id % 360 AS DOUBLE)",
 }
-GUST_FIELD = "CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 300 AS DOUBLE) / CAST(10 AS DOUBLE) END"
+GUST_FIELD = (
+    "CASE WHEN {e}event_id % 3 <> 0 THEN CAST({e}event_id % 300 AS DOUBLE) / CAST(10 AS DOUBLE) END"
+)
 CONDITION_FIELDS = {
-    "id": "200 + event_id % 600",
-    "main": "event_type",
-    "description": "concat(event_type, ' sky')",
-    "icon": "CASE WHEN event_id % 2 = 0 THEN '01d' END",
+    "id": "200 + {e}event_id % 600",
+    "main": "{e}event_type",
+    "description": "concat({e}event_type, ' sky')",
+    "icon": "CASE WHEN {e}event_id % 2 = 0 THEN '01d' END",
 }
 
 
+def _struct(fields: dict[str, str], **more: str) -> str:
+    named = ", ".join(f"'{name}', {sql}" for name, sql in (fields | more).items())
+    return f"named_struct({named})".format(e="e.")
+
+
 def weather_documents(spark: SparkSession, sf_dir: str, changed: bool = False) -> DataFrame:
     """Events gathered into nested documents per location and day.
 
-    ``changed`` raises every temperature by one, as a later correction would.
+    ``changed`` raises every temperature by one, as a later correction would. Only the event
+    columns are shuffled; the wide entries are built from them afterwards.
     """
-    events = table(spark, sf_dir, "events")
-    if changed:
-        events = events.withColumn("value", F.col("value") + 1)
-    condition = F.struct(*[F.expr(sql).alias(name) for name, sql in CONDITION_FIELDS.items()])
-    other = F.struct(
-        F.lit(999).cast("long").alias("id"),
-        *[F.lit("second").alias(name) for name in ("main", "description", "icon")],
-    )
-    conditions = (
-        F.when(F.col("event_id") % 5 == 0, F.array().cast(CONDITIONS_TYPE))
-        .when(F.col("event_id") % 7 == 0, F.array(condition, other))
-        .otherwise(F.array(condition))
+    condition = _struct(CONDITION_FIELDS)
+    second = "named_struct('id', 999L, 'main', 'second', 'description', 'second', 'icon', 'second')"
+    weather = f"""CASE WHEN e.event_id % 5 = 0 THEN filter(array({condition}), c -> false)
+                  WHEN e.event_id % 7 = 0 THEN array({condition}, {second})
+                  ELSE array({condition}) END"""
+    hour = _struct({"dt": "e.dt", **ENTRY_FIELDS}, wind_gust=GUST_FIELD, weather=weather)
+    now = _struct(
+        {"dt": "e.dt", "sunrise": "midnight + 21600", "sunset": "midnight + 64800", **ENTRY_FIELDS},
+        weather=weather,
     )
-    fields = [F.expr(sql).alias(name) for name, sql in ENTRY_FIELDS.items()]
-    dt = F.unix_timestamp(F.col("ts").cast("timestamp"))
-    midnight = F.unix_timestamp(F.to_date("ts").cast("timestamp"))
-    entries = events.select(
+    events = table(spark, sf_dir, "events").select(
         "user_id",
         F.to_date("ts").alias("day"),
         F.expr(f"event_id DIV {EVENTS_PER_DOCUMENT}").alias("part"),
-        F.struct("ts", "event_id").alias("latest"),
         F.struct(
-            dt.alias("dt"), *fields, F.expr(GUST_FIELD).alias("wind_gust"),
-            conditions.alias("weather"),
-        ).alias("hour"),
-        F.struct(
-            dt.alias("dt"), (midnight + 21600).alias("sunrise"), (midnight + 64800).alias("sunset"),
-            *fields, conditions.alias("weather"),
-        ).alias("now"),
+            "ts", "event_id", "event_type", (F.col("value") + int(changed)).alias("value"),
+            F.unix_timestamp(F.col("ts").cast("timestamp")).alias("dt"),
+        ).alias("event"),
     )
+    midnight = F.unix_timestamp(F.col("day").cast("timestamp"))
     return (
-        entries.groupBy("user_id", "day", "part")
-        .agg(F.max_by("now", "latest").alias("current"), F.collect_list("hour").alias("hourly"))
+        events.groupBy("user_id", "day", "part")
+        .agg(F.collect_list("event").alias("events"))
+        .select("user_id", "day", "events", midnight.alias("midnight"))
         .select(
             "day",
             _degrees(_latitude("user_id")).cast("double").alias("lat"),
             _degrees(_longitude("user_id")).cast("double").alias("lon"),
             F.concat(F.lit("Zone/"), F.col("user_id") % 4).alias("timezone"),
             (F.col("user_id") % 4 * 3600).alias("timezone_offset"),
-            "current",
-            "hourly",
+            F.expr(f"transform(array(array_max(events)), e -> {now})[0]").alias("current"),
+            F.expr(f"transform(events, e -> {hour})").alias("hourly"),
         )
     )
 
 
-CONDITIONS_TYPE = "array<struct<id:bigint,main:string,description:string,icon:string>>"
-
-
 def landed(spark: SparkSession, documents: DataFrame, stamp: str | None = None) -> str:
     """Write documents to a new landing folder and give its path."""
     folder = work_folder(spark, "landing")
@@ -236,10 +233,10 @@ def entry_sql(now: bool = False) -> str:
     if not now:
         columns.append(f"{GUST_FIELD} AS wind_gust")
     columns += [
-        f"CASE WHEN event_id % 5 <> 0 THEN {sql} END AS weather_{name}"
+        f"CASE WHEN {{e}}event_id % 5 <> 0 THEN {sql} END AS weather_{name}"
         for name, sql in CONDITION_FIELDS.items()
     ]
-    return ",\n           ".join(columns)
+    return ",\n           ".join(columns).format(e="")
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:

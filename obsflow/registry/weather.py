@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from obsflow.operators.flatten import flatten_current, flatten_hourly, flatten_struct
 from obsflow.operators.screening import accepted_responses, split_documents
-from obsflow.plans.weather import WeatherStore, refresh_weather, stage
+from obsflow.plans.weather import (
+    WeatherStore,
+    export_flat_csv,
+    load_flat_csv,
+    refresh_weather,
+    stage,
+)
 from obsflow.fixed_values import DAILY_STATS_VIEW
 from obsflow.registry.inputs import (
     EVENTS_PER_DOCUMENT,
@@ -38,6 +44,16 @@ def current_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_current(_documents(spark, sf_dir))
 
 
+def csv_hand_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents exported as CSV, loaded from there, twice, into a base table."""
+    folder = work_folder(spark, "processed")
+    store = WeatherStore(work_folder(spark, "store"))
+    export_flat_csv(spark, landed(spark, weather_documents(spark, sf_dir).drop("day")), folder)
+    for _ in range(2):
+        load_flat_csv(spark, folder, store, on_duplicate="first")
+    return store.current.read(spark).drop("obs_date")
+
+
 def landing_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries per landed run, the run being read off the path of each file."""
     documents = weather_documents(spark, sf_dir).drop("day")
@@ -119,6 +135,7 @@ def refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "hourly_flat": hourly_flat,
     "current_flat": current_flat,
+    "csv_hand_over": csv_hand_over,
     "landing_lineage": landing_lineage,
     "reject_split": reject_split,
     "accepted_responses": accepted,
@@ -137,6 +154,18 @@ FROM (SELECT *, row_number() OVER (
           ORDER BY ts DESC, event_id DESC) AS place
       FROM events)
 WHERE place = 1""",
+    "csv_hand_over": f"""
+WITH latest AS (
+    SELECT * FROM events QUALIFY row_number() OVER (
+        PARTITION BY user_id, date_trunc('day', ts), event_id // {EVENTS_PER_DOCUMENT}
+        ORDER BY ts DESC, event_id DESC) = 1
+), flat AS (
+    SELECT {entry_sql(now=True)}
+    FROM latest
+)
+SELECT * FROM flat QUALIFY row_number() OVER (
+    PARTITION BY latitude, longitude, requested_datetime
+    ORDER BY timezone, sunrise, sunset, temp, feels_like, pressure, humidity) = 1""",
     "landing_lineage": f"""
 SELECT landed, count(DISTINCT (user_id, date_trunc('day', ts), event_id // {EVENTS_PER_DOCUMENT}))
            AS documents,

@@ -126,3 +126,26 @@ def test_incremental_archives_loaded_files(spark, tmp_path):
                       archive=str(tmp_path / "archive"))
     assert store.hourly.read(spark).count() == 6
     assert len(list((tmp_path / "archive").rglob("*.json"))) >= 1
+
+
+def test_command_line(spark, tmp_path, locations, capfd):
+    from obsflow.__main__ import main
+    from obsflow.sinks.files import write_headerless_csv
+
+    store, places = str(tmp_path / "store"), str(tmp_path / "places")
+    land(tmp_path / "landing", "1", document(1, [1, 2]))
+    write_headerless_csv(locations, places)
+    main(["refresh", "--landing", str(tmp_path / "landing"), "--store", store,
+          "--locations", places, "--run", "1"])
+    main(["report", "--store", store, "--view", DAILY_STATS_VIEW])
+    assert "Jacksonville" in capfd.readouterr().out
+    main(["export", "--landing", str(tmp_path / "landing"), "--folder", str(tmp_path / "csv")])
+    assert spark.read.csv(str(tmp_path / "csv" / "hourly_weather")).count() == 2
+    land(tmp_path / "landing", "2", document(2, [1, 2]))
+    main(["incremental", "--landing", str(tmp_path / "landing"), "--store", store,
+          "--checkpoint", str(tmp_path / "offsets")])
+    assert WeatherStore(store).hourly.read(spark).count() == 4
+    land(tmp_path / "lake" / "raw" / "patient", "1",
+         {"total": 1, "entry": [{"resource": {"id": "5"}, "search": {"mode": "match"}}]})
+    main(["clinical", "--root", str(tmp_path / "lake"), "--resources", "patient"])
+    assert spark.read.parquet(str(tmp_path / "lake" / "silver" / "patient")).first().id == 5
