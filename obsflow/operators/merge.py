@@ -11,8 +11,21 @@ from obsflow.sinks.tables import BaseTable
 
 
 def except_rows(batch: DataFrame, target: DataFrame) -> DataFrame:
-    """Distinct rows of the batch that the target does not hold, nulls being equal."""
-    return batch.subtract(target.select(*batch.columns))
+    """Distinct rows of the batch that the target does not hold, nulls being equal.
+
+    Both sides are tagged, put together and grouped by all columns. That is one shuffle,
+    before which each task collapses its copies, and equal rows meet without a join.
+    """
+    columns = batch.columns
+    tagged = batch.withColumn("_stored", F.lit(False)).unionByName(
+        target.select(*columns).withColumn("_stored", F.lit(True))
+    )
+    return (
+        tagged.groupBy(*columns)
+        .agg(F.bool_or("_stored").alias("_stored"))
+        .filter(~F.col("_stored"))
+        .select(*columns)
+    )
 
 
 def first_per_key(
