@@ -10,6 +10,7 @@ from obsflow.fixed_values import DAILY_MAX_VIEW, DAILY_STATS_VIEW
 from obsflow.operators.flatten import flatten_current, flatten_hourly
 from obsflow.operators.merge import merge_insert_only
 from obsflow.operators.screening import split_documents
+from obsflow.plans.mart_views import mart_queries
 from obsflow.plans.marts import daily_max, daily_stats
 from obsflow.schemas import (
     CURRENT_KEY,
@@ -21,25 +22,37 @@ from obsflow.schemas import (
 )
 from obsflow.session import pin_utc, staging_folder
 from obsflow.sinks.files import write_headerless_csv
-from obsflow.sinks.tables import BaseTable, publish_view
+from obsflow.sinks.tables import BaseTable, create_view, publish_view
 from obsflow.sources.documents import read_weather_documents
 from obsflow.sources.tables import read_headerless_csv
 
 
 @dataclass(frozen=True)
 class WeatherStore:
-    """The base tables of one store folder."""
+    """The base tables of one store.
+
+    ``root`` is a folder when it holds a slash, else a database of the catalog. A database
+    keeps its views across sessions and needs ``rejects``, a folder for rejected documents.
+    """
 
     root: str
+    rejects: str | None = None
+
+    @property
+    def is_folder(self) -> bool:
+        return "/" in self.root
+
+    def _at(self, name: str) -> str:
+        return f"{self.root}/{name}" if self.is_folder else f"{self.root}.{name}"
 
     @property
     def location(self) -> BaseTable:
-        return BaseTable(f"{self.root}/location", LOCATION, LOCATION_KEY, LOCATION_KEY)
+        return BaseTable(self._at("location"), LOCATION, LOCATION_KEY, LOCATION_KEY)
 
     @property
     def hourly(self) -> BaseTable:
         return BaseTable(
-            f"{self.root}/hourly_weather",
+            self._at("hourly_weather"),
             HOURLY_WEATHER,
             HOURLY_KEY,
             [*HOURLY_KEY, "timezone"],
@@ -50,7 +63,7 @@ class WeatherStore:
     @property
     def current(self) -> BaseTable:
         return BaseTable(
-            f"{self.root}/current_weather",
+            self._at("current_weather"),
             CURRENT_WEATHER,
             CURRENT_KEY,
             [*CURRENT_KEY, "timezone"],
@@ -59,7 +72,9 @@ class WeatherStore:
         )
 
     def rejected(self, run: str) -> str:
-        return f"{self.root}/rejected/run={run}"
+        if self.rejects is None and not self.is_folder:
+            raise ValueError("a store in the catalog needs a folder for rejected documents")
+        return f"{self.rejects or self.root + '/rejected'}/run={run}"
 
 
 def stage(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
@@ -113,9 +128,14 @@ def load_flat_csv(
 
 
 def publish_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFrame]:
-    """The two marts as views over the base tables."""
+    """The two marts as views: stored ones in a database, else ones for this session."""
     store.hourly.create(spark)
     store.location.create(spark)
+    if not store.is_folder:
+        texts = mart_queries(store.hourly.location, store.location.location)
+        for name, query in texts.items():
+            create_view(spark, f"{store.root}.{name}", query)
+        return {name: spark.table(f"{store.root}.{name}") for name in texts}
     hourly, locations = store.hourly.read(spark), store.location.read(spark)
     marts = {
         DAILY_MAX_VIEW: daily_max(hourly, locations),

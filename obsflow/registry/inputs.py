@@ -6,6 +6,8 @@ computed from its key, and each event for an observation at the customer it name
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -213,6 +215,13 @@ def landed(spark: SparkSession, documents: DataFrame, stamp: str | None = None)
     return folder
 
 
+def new_database(spark: SparkSession) -> str:
+    """An empty catalog database whose tables lie in the shared folder."""
+    name = f"obsflow_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{work_folder(spark, 'database')}'")
+    return name
+
+
 def entry_sql(now: bool = False) -> str:
     """The flat columns of one entry of a document, for a select from ``events``."""
     columns = [

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +14,7 @@ from obsflow.registry.inputs import (
     OBSERVATIONS_SQL,
     entry_sql,
     locations,
+    new_database,
     observations,
     table,
     weather_documents,
@@ -129,7 +128,7 @@ def too_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staging_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog table created twice, filled, then emptied and filled with another batch."""
-    name = f"obsflow_stage_{uuid.uuid4().hex}"
+    name = f"{new_database(spark)}.hours_staged"
     create_table(spark, name, HOUR_SCHEMA)
     create_table(spark, name, HOUR_SCHEMA)
     for batch in _batches(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsflow.fixed_values import DAILY_MAX_VIEW, DAILY_STATS_VIEW
 from obsflow.operators.flatten import flatten_current, flatten_hourly, flatten_struct
 from obsflow.operators.screening import accepted_responses, split_documents
 from obsflow.plans.weather import (
@@ -14,7 +15,6 @@ from obsflow.plans.weather import (
     refresh_weather,
     stage,
 )
-from obsflow.fixed_values import DAILY_STATS_VIEW
 from obsflow.registry.inputs import (
     EVENTS_PER_DOCUMENT,
     LOCATIONS_SQL,
@@ -22,6 +22,7 @@ from obsflow.registry.inputs import (
     entry_sql,
     landed,
     locations,
+    new_database,
     table,
     weather_documents,
 )
@@ -132,6 +133,17 @@ def refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_query(spark, f"SELECT * FROM {DAILY_STATS_VIEW}")
 
 
+def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run into a database, read through its stored view."""
+    database = new_database(spark)
+    store = WeatherStore(database, rejects=work_folder(spark, "rejected"))
+    landing = landed(spark, weather_documents(spark, sf_dir).drop("day"), "20240131000000")
+    refresh_weather(
+        spark, landing, store, locations(spark, sf_dir), "20240131", on_duplicate="first"
+    )
+    return read_query(spark, f"SELECT * FROM {database}.{DAILY_MAX_VIEW}")
+
+
 QUERIES = {
     "hourly_flat": hourly_flat,
     "current_flat": current_flat,
@@ -141,8 +153,22 @@ QUERIES = {
     "accepted_responses": accepted,
     "flatten_struct": flat_struct,
     "weather_refresh": refresh,
+    "catalog_refresh": catalog_refresh,
 }
 
+_PLACED_HOURS_SQL = f"""{LOCATIONS_SQL}, hours AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY latitude, longitude, datetime ORDER BY timezone, temp, feels_like, pressure,
+        humidity, dew_point, uvi, clouds, visibility, wind_speed, wind_deg, wind_gust) AS place
+    FROM (SELECT {entry_sql()} FROM events)
+), joined AS (
+    SELECT l.*, h.temp, substr(h.datetime, 1, 10) AS date
+    FROM locations l, hours h
+    WHERE h.place = 1
+      AND round(l.latitude, 4) = round(CAST(h.latitude AS DECIMAL(9,6)), 4)
+      AND round(l.longitude, 4) = round(CAST(h.longitude AS DECIMAL(9,6)), 4)
+)"""
+
 ORACLES = {
     "hourly_flat": f"""
 SELECT {entry_sql()}
@@ -189,19 +215,13 @@ SELECT event_id AS "event.id", event_type AS "event.body.type", value AS "event.
        CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k", user_id
 FROM events""",
     "weather_refresh": f"""
-WITH {LOCATIONS_SQL}, hours AS (
-    SELECT *, row_number() OVER (
-        PARTITION BY latitude, longitude, datetime ORDER BY timezone, temp, feels_like, pressure,
-        humidity, dew_point, uvi, clouds, visibility, wind_speed, wind_deg, wind_gust) AS place
-    FROM (SELECT {entry_sql()} FROM events)
-), joined AS (
-    SELECT l.*, h.temp, substr(h.datetime, 1, 10) AS date
-    FROM locations l, hours h
-    WHERE h.place = 1
-      AND round(l.latitude, 4) = round(CAST(h.latitude AS DECIMAL(9,6)), 4)
-      AND round(l.longitude, 4) = round(CAST(h.longitude AS DECIMAL(9,6)), 4)
-)
+WITH {_PLACED_HOURS_SQL}
 SELECT country, state, city, date, max(temp) AS max_temperature, min(temp) AS min_temperature,
        {average_sql('temp')} AS average_temperature
+FROM joined GROUP BY ALL""",
+    "catalog_refresh": f"""
+WITH {_PLACED_HOURS_SQL}
+SELECT country, state, city, date, CAST(substr(date, 6, 2) AS BIGINT) AS month,
+       max(temp) AS max_temperature
 FROM joined GROUP BY ALL""",
 }

@@ -149,3 +149,22 @@ def test_command_line(spark, tmp_path, locations, capfd):
          {"total": 1, "entry": [{"resource": {"id": "5"}, "search": {"mode": "match"}}]})
     main(["clinical", "--root", str(tmp_path / "lake"), "--resources", "patient"])
     assert spark.read.parquet(str(tmp_path / "lake" / "silver" / "patient")).first().id == 5
+
+
+def test_store_in_the_catalog(spark, tmp_path, locations):
+    spark.sql("CREATE DATABASE IF NOT EXISTS weather_db")
+    store = WeatherStore("weather_db", rejects=str(tmp_path / "rejected"))
+    folder = WeatherStore(str(tmp_path / "store"))
+    land(tmp_path / "landing", "1", document(1, [1.5, 2.5, 3.25]))
+    land(tmp_path / "landing", "2", document(2, [4, 6]))
+    land(tmp_path / "landing", "3", "{broken")
+    for _ in range(2):
+        stored = refresh_weather(spark, str(tmp_path / "landing"), store, locations, "r")
+    session_only = refresh_weather(spark, str(tmp_path / "landing"), folder, locations, "r")
+    for name, mart in stored.items():
+        assert mart.columns == session_only[name].columns
+        assert sorted(map(str, mart.collect())) == sorted(map(str, session_only[name].collect()))
+    assert spark.sql(f"SELECT * FROM weather_db.{DAILY_STATS_VIEW}").count() == 2
+    with pytest.raises(ValueError):
+        WeatherStore("weather_db").rejected("r")
+    spark.sql("DROP DATABASE weather_db CASCADE")
