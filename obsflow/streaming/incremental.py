@@ -21,7 +21,8 @@ def run_available(
     """Merge all files not seen yet, then stop. Meant to be started once a day.
 
     The checkpoint takes each file once across restarts. Should a batch be repeated after
-    a failure, the merge skips what it stored already, so the outcome is the same.
+    a failure, the merge skips what it stored already, so the outcome is the same. A batch
+    that breaks a rule of the tables fails the load and is tried again by the next one.
     ``files_per_batch`` bounds the work of one batch; older files go first. With ``archive``
     loaded files are moved to that folder, so that the landing folder stays quick to list.
     """

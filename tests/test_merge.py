@@ -156,3 +156,37 @@ def test_quality_reports(spark):
     assert over_length(data, ["place"], 3).first().too_long == 1
     with pytest.raises(QualityError, match="temp is null"):
         assert_clean(data, ["temp"], [])
+
+
+def test_a_day_that_holds_the_whole_batch_is_written_by_several_tasks(spark, tmp_path):
+    table = BaseTable(str(tmp_path / "base"), SCHEMA, KEYS, KEYS, "day", "moment")
+    batch = spark.range(20000, numPartitions=4).selectExpr(
+        "CAST(xxhash64(id) AS STRING) AS place", "TIMESTAMP '2024-01-01 00:00:00' AS moment",
+        "CAST(id AS DECIMAL(18,6)) AS temp")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        merge_insert_only(batch, table)
+    finally:
+        spark.conf.unset(size)
+    assert len(glob.glob(str(tmp_path / "base" / "day=2024-01-01" / "*.parquet"))) > 1
+    assert table.read(spark).count() == 20000
+
+
+def test_except_is_one_shuffle(spark):
+    batch = rows(spark, ("a", 1, 0, 1))
+    plan = except_rows(batch, batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_merge_shuffles_the_batch_once_before_writing(spark, tmp_path):
+    table = BaseTable(str(tmp_path / "base"), SCHEMA, KEYS, KEYS)
+    table.create(spark)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        batch = table.conform(rows(spark, ("a", 1, 0, 1)))
+        plan = new_rows(batch, table.read(spark), KEYS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(threshold)
+    assert plan.count("Exchange hashpartitioning") == 2
