@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import exact_dedup, near_dedup
+from obsflow.llm import exact_dedup, language, near_dedup, pieces
 from obsflow.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,17 @@ def prepared(spark: SparkSession) -> SparkSession:
     return pin_utc(spark)
 
 
+def piece_model() -> str:
+    """Where the public vocabulary is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op6_sentencepiece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(pieces.encode_pieces(table(spark, sf_dir, "documents"), piece_model(), packed=True))
+
+
 def op8_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -35,9 +46,15 @@ def op9_heavy_hitter_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_segmentation_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), piece_model())
+
+
 _QUERIES: tuple[Query, ...] = (
+    op6_sentencepiece_offsets,
     op8_hyperminhash_near_dedup,
     op9_heavy_hitter_exact_dedup,
+    op10_segmentation_language_id,
 )
 
 OP9_SQL = r"""
