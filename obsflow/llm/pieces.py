@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -250,7 +251,7 @@ def encode_pieces(
 
 
 def _chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
-    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(sizes):
         before = sizes[start - 1] if start else 0

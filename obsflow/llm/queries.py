@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import exact_dedup, language, near_dedup, pieces
+from obsflow.llm import exact_dedup, language, mixing, near_dedup, pieces
 from obsflow.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op6_sentencepiece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_pieces(table(spark, sf_dir, "documents"), piece_model(), packed=True))
 
 
+def op7_cube_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op8_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -52,6 +56,7 @@ def op10_segmentation_language_id(spark: SparkSession, sf_dir: str) -> DataFrame
 
 _QUERIES: tuple[Query, ...] = (
     op6_sentencepiece_offsets,
+    op7_cube_source_mix,
     op8_hyperminhash_near_dedup,
     op9_heavy_hitter_exact_dedup,
     op10_segmentation_language_id,

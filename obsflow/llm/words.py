@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -60,7 +61,7 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
 
     A null text is empty. A text above the limit is a block of its own.
     """
-    column = pa.compute.fill_null(column.cast(pa.large_binary()), b"")
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     if len(column) == 0:
         return
     _, offsets, data = column.buffers()
