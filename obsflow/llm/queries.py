@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import exact_dedup, language, mixing, near_dedup, pieces
+from obsflow.llm import exact_dedup, language, mixing, near_dedup, pieces, pii
 from obsflow.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op6_sentencepiece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_pieces(table(spark, sf_dir, "documents"), piece_model(), packed=True))
 
@@ -55,6 +59,7 @@ def op10_segmentation_language_id(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 _QUERIES: tuple[Query, ...] = (
+    op1_boosted_pii,
     op6_sentencepiece_offsets,
     op7_cube_source_mix,
     op8_hyperminhash_near_dedup,
