@@ -11,28 +11,20 @@ from obsflow.llm.staging import cut
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges(src, dst)``; component is its smallest node.
 
-    Each round gives a node the smallest label among its own and its neighbours', then replaces
-    the label by that label's own label, so that long chains halve. It ends when nothing changes.
+    Each round gives a node the smallest label among its own, its neighbours' and its label's, so that
+    long chains halve. Labels only fall, so it ends when their sum stays. The many small joins are
+    merge joins: a broadcast for each would fill the driver.
     """
-    both = cut(
-        edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    )
-    labels = cut(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("component")))
+    ends = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = cut(ends.distinct())
+    labels = cut(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
+    before = None
     while True:
-        near = (
-            both.join(labels, both["dst"] == labels["node"])
-            .groupBy("src")
-            .agg(F.min("component").alias("near"))
-            .select(F.col("src").alias("at"), "near")
-        )
-        lower = labels.join(near, labels["node"] == near["at"]).select(
-            "node", F.col("component").alias("was"), F.least("component", "near").alias("next")
-        )
-        jump = labels.select(F.col("node").alias("next"), F.col("component").alias("further"))
-        moved = cut(
-            lower.join(jump, "next").select("node", F.least("next", "further").alias("component"), "was")
-        )
-        settled = moved.filter(F.col("component") != F.col("was")).isEmpty()
-        labels = moved.select("node", "component")
-        if settled:
+        total = labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
+        if total == before:
             return labels
+        before = total
+        near = both.join(labels.hint("merge"), both["dst"] == labels["node"]).select(F.col("src").alias("node"), "component")
+        further = labels.select(F.col("node").alias("component"), F.col("component").alias("lower"))
+        jump = labels.join(further.hint("merge"), "component").select("node", "lower")
+        labels = cut(labels.union(near).union(jump).groupBy("node").agg(F.min("component").alias("component")))
