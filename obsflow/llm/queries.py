@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import chat, exact_dedup, language, mixing, near_dedup, pieces, pii
+from obsflow.llm import chat, exact_dedup, language, maxscore, mixing, near_dedup, passages, pieces, pii
 from obsflow.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op3_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeated_passages(table(spark, sf_dir, "documents"))
+
+
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -54,6 +58,11 @@ def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(parts))
 
 
+def op5_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op6_sentencepiece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_pieces(table(spark, sf_dir, "documents"), piece_model(), packed=True))
 
@@ -76,7 +85,9 @@ def op10_segmentation_language_id(spark: SparkSession, sf_dir: str) -> DataFrame
 
 _QUERIES: tuple[Query, ...] = (
     op1_boosted_pii,
+    op3_sentence_span_dedup,
     op4_chat_parts,
+    op5_maxscore_top_k,
     op6_sentencepiece_offsets,
     op7_cube_source_mix,
     op8_hyperminhash_near_dedup,
@@ -125,8 +136,27 @@ SELECT conv_id,
 FROM joined
 """
 
+OP5_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM whole AS q JOIN whole AS c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLES = {
     "op4_chat_parts": OP4_SQL,
+    "op5_maxscore_top_k": OP5_SQL,
     "op9_heavy_hitter_exact_dedup": OP9_SQL,
 }
 
