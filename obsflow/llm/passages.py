@@ -1,7 +1,7 @@
 """Repeated passages: runs of consecutive sentences that occur before, in any text, are removed.
 
 A sentence ends at ``.``, ``!`` or ``?`` or at a line break; one of more than LONG words is also cut behind words that a hash picks,
-so that equal text is cut alike wherever it stands. From every sentence on, the shortest run of at least SENTENCES sentences and
+and after every AT_MOST, so that equal text is cut alike wherever it stands. From every sentence on, the shortest run of at least SENTENCES sentences and
 WORDS words is hashed (lower-cased words, white space aside) to 128 bits. Runs are joined globally by hash; the first by doc_id and place stays,
 and the sentences of every other are removed.
 """
@@ -23,6 +23,7 @@ WORDS = 20
 LONG = 12
 #: One word in so many ends a piece of a long sentence.
 CUT = 8
+AT_MOST = 16
 
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
@@ -47,7 +48,11 @@ def sentences(words) -> np.ndarray:
     ends = last | _ENDS[words.data[words.end - 1]] | (breaks[np.maximum(behind, words.end)] > breaks[words.end])
     begin = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
     size = np.diff(np.append(begin, n))
-    return ends | (np.repeat(size > LONG, size) & (words.hash % np.uint64(CUT) == 0))
+    ends = ends | (np.repeat(size > LONG, size) & (words.hash % np.uint64(CUT) == 0))
+    # Where the hash picks none for long, as in one word over and over: every AT_MOST words.
+    begin = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
+    place = np.arange(n) - np.repeat(begin, np.diff(np.append(begin, n)))
+    return ends | (place % AT_MOST == AT_MOST - 1)
 
 
 def runs(words, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

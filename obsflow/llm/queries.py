@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import chat, exact_dedup, language, maxscore, mixing, near_dedup, passages, pieces, pii
+from obsflow.llm import chat, exact_dedup, language, maxscore, mixing, near_dedup, passages, pieces, pii, quality
 from obsflow.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op1_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op3_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,7 @@ def op10_segmentation_language_id(spark: SparkSession, sf_dir: str) -> DataFrame
 
 _QUERIES: tuple[Query, ...] = (
     op1_boosted_pii,
+    op2_weak_label_quality,
     op3_sentence_span_dedup,
     op4_chat_parts,
     op5_maxscore_top_k,
