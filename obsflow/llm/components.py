@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.staging import cut
+from obsflow.llm.staging import cut, release
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -24,6 +24,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if total == before:
             return labels
         before = total
+        release(edges.sparkSession)
         near = both.join(labels.hint("merge"), both["dst"] == labels["node"]).select(F.col("src").alias("node"), "component")
         further = labels.select(F.col("node").alias("component"), F.col("component").alias("lower"))
         jump = labels.join(further.hint("merge"), "component").select("node", "lower")

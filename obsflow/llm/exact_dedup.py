@@ -81,10 +81,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # Rows that repeat a doc_id: of each text that stays under it, one row.
     stays = decided.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text")).distinct()
     stays = stays.join(repeated.withColumnRenamed("_id", "_twice"), F.col("_id").eqNullSafe(F.col("_twice")), "left_semi")
+    held = docs.select(F.struct("*").alias("_doc")).withColumn("_sha", F.sha2(normalised(F.col("_doc")[text_col]), 256))
     several = (
-        docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
-        .join(stays, docs[id_col].eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text")))
-        .dropDuplicates([id_col, "_sha"])
-        .select(*docs.columns)
+        held.join(stays, F.col("_doc")[id_col].eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text")))
+        .dropDuplicates(["_id", "_sha"])
+        .select("_doc.*")
     )
     return single.unionByName(several)

@@ -179,12 +179,13 @@ def mix_sources(
     return out.select("doc_id", "size", "source_size", "target", (times * F.col("size")).alias("taken"), times.alias("times"))
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents as the mix takes them, each as often as it is taken; all columns as they came.
 
     A row is repeated as its doc_id says; if rows share a doc_id, each is repeated as the one that is taken most.
     Documents without words are in no mix.
     """
-    times = mix_sources(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.when(F.col("size") > 0, F.col("times")).otherwise(F.lit(0))).alias("_times"))
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).filter("_times > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    times = mix_sources(docs, id_col=id_col).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.when(F.col("size") > 0, F.col("times")).otherwise(F.lit(0))).alias("_times"))
+    held = docs.select(F.struct("*").alias("_doc"))
+    joined = held.join(times, F.col("_doc")[id_col].eqNullSafe(F.col("_id"))).filter("_times > 0")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_doc.*")

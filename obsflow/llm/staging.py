@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from obsflow.session import shared_folder, work_folder
@@ -21,6 +23,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffles and checkpoints of finished rounds.
+
+    It removes them only once the driver's garbage is collected, which may not happen during a long loop of
+    small jobs; their files and the driver's heap would grow with the number of rounds.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _ensure_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
