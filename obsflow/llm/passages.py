@@ -15,14 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.staging import staged
 from obsflow.llm.words import mix, text_blocks, words_of
 
 SENTENCES = 3
 WORDS = 20
-LONG = 12
+LONG = 16
 #: One word in so many ends a piece of a long sentence.
-CUT = 8
+CUT = 10
 AT_MOST = 16
 
 _ENDS = np.zeros(256, dtype=bool)
@@ -85,7 +84,7 @@ def _hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = sentences(words)
             if not len(ends):
                 continue
-            first, behind, a, b = runs(words, ends)
+            first, _, a, b = runs(words, ends)
             close = np.flatnonzero(ends)
             of = words.text[close]
             base = np.searchsorted(of, of[first])
@@ -93,48 +92,44 @@ def _hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     batch.column(0).take(pa.array(start + of[first])),
                     pa.array((first - base).astype(np.int32)),
-                    pa.array((behind - first).astype(np.int32)),
                     pa.array(a.view(np.int64)),
                     pa.array(b.view(np.int64)),
                 ],
-                names=["row", "place", "size", "a", "b"],
+                names=["row", "place", "a", "b"],
             )
 
 
-def _without(data: np.ndarray, offsets: np.ndarray, raw: np.ndarray, removed: list[np.ndarray | None]) -> Iterator[tuple[bytes, int, int]]:
-    """(text without the removed sentences, sentences, removed sentences) of each text."""
+def _without(data: np.ndarray, offsets: np.ndarray, removed: list[list[int] | None]) -> Iterator[tuple[bytes, int, int]]:
+    """(text without the sentences of the runs that begin at the given places, sentences, removed sentences) of each text."""
     words = words_of(data, offsets)
     ends = sentences(words)
     close = np.flatnonzero(ends)
     of = words.text[close] if len(close) else close
     bound = np.searchsorted(of, np.arange(len(offsets)))
-    for i, gone in enumerate(removed):
+    first, behind, _, _ = runs(words, ends)
+    for i, places in enumerate(removed):
         a, b = bound[i], bound[i + 1]
-        text = raw[offsets[i] : offsets[i + 1]]
-        if gone is None or not len(gone) or a == b:
+        text = data[offsets[i] : offsets[i + 1]]
+        if not places:
             yield text.tobytes(), int(b - a), 0
             continue
+        at = np.searchsorted(first, a + np.unique(places))
+        depth = np.zeros(b - a + 1, dtype=np.int64)
+        np.add.at(depth, first[at] - a, 1)
+        np.add.at(depth, behind[at] - a, -1)
+        keep = np.cumsum(depth)[:-1] == 0
         # A sentence reaches to the first word of the next, so white space goes with it.
-        first = np.concatenate([[words.of_text(len(offsets) - 1)[i]], close[a:b - 1] + 1])
-        begin = words.start[first]
+        begin = words.start[np.concatenate([[close[a - 1] + 1 if a else 0], close[a : b - 1] + 1])]
         begin[0] = offsets[i]
-        stop = np.append(begin[1:], offsets[i + 1])
-        keep = np.ones(b - a, dtype=bool)
-        keep[gone] = False
-        mask = np.repeat(keep, stop - begin)
-        yield text[mask].tobytes(), int(b - a), int((~keep).sum())
+        size = np.diff(np.append(begin, offsets[i + 1]))
+        yield text[np.repeat(keep, size)].tobytes(), int(b - a), int((~keep).sum())
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        removed = batch.column(2)
         for start, data, offsets in text_blocks(batch.column(1)):
             n = len(offsets) - 1
-            gone = []
-            for x in removed.slice(start, n):
-                spans = x.as_py()
-                gone.append(None if spans is None else np.unique(np.concatenate([np.arange(s["place"], s["place"] + s["size"]) for s in spans])))
-            rows = list(_without(data, offsets, data, gone))
+            rows = list(_without(data, offsets, batch.column(2).slice(start, n).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(start, n),
@@ -155,11 +150,11 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     ignored; an empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place int, size int, a long, b long")
-    hashed = staged(hashed, "passage-runs")
+    # Hashed twice rather than written: there are many runs, and all but a few are only needed to find those few.
+    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place int, a long, b long")
     first = hashed.groupBy("a", "b").agg(F.min(F.struct("row", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     again = hashed.join(first.hint("merge"), ["a", "b"]).filter("row != first.row OR place != first.place")
-    # Neighbouring runs overlap: those of one document are gathered, of which there are no more than it has sentences.
-    spans = again.select("row", F.struct("place", "size").alias("span")).distinct().groupBy("row").agg(F.collect_list("span").alias("removed"))
+    # Places of one document are gathered: no more than it has sentences.
+    spans = again.select("row", "place").distinct().groupBy("row").agg(F.collect_list("place").alias("removed"))
     joined = source.join(spans, source["doc_id"] == spans["row"], "left").select("doc_id", "text", "removed")
     return joined.mapInArrow(_remove, "doc_id long, text string, n_sentences long, n_removed long")
