@@ -16,6 +16,8 @@ def total_of(amounts: Column) -> Column:
 
 
 def total_by(rows: DataFrame, keys: list[str], amounts: str) -> DataFrame:
-    """Sum of all map values of a group, however many maps it holds."""
-    values = rows.select(*keys, F.explode(amounts).alias("_key", "_value"))
-    return values.groupBy(*keys).agg(F.sum("_value").alias("total"))
+    """Sum of all map values of a group, however many maps it holds; zero if they are all empty.
+
+    A group whose maps are all null has a null total.
+    """
+    return rows.groupBy(*keys).agg(F.sum(total_of(F.col(amounts))).alias("total"))

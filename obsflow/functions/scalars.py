@@ -41,8 +41,21 @@ def as_long(value: Column) -> Column:
 
 
 def rounded(value: Column, scale: int = COORDINATE_SCALE) -> Column:
-    """A coordinate as a join key: exact decimal, half away from zero."""
-    return F.round(as_coordinate(value), scale)
+    """A coordinate as a join key: exact decimal, rounded once, half away from zero."""
+    return F.round(value.try_cast("decimal(38,18)"), scale)
+
+
+def exact_average(total: str, count: str) -> str:
+    """SQL for ``total / count`` as decimal(18,2), rounded once, half away from zero.
+
+    Decimal division rounds at its own scale first, which can tip a mean just below a half. Whole
+    numbers don't: with values of six places, (2 * sum + n) // (2 * n) at the scale wanted is exact.
+    """
+    micros = f"CAST(abs({total}) * 1000000 AS DECIMAL(38,0))"
+    rows = f"CAST({count} AS DECIMAL(19,0))"
+    cents = f"((2 * {micros} + 10000 * {rows}) DIV (20000 * {rows}))"
+    sign = f"CASE WHEN {total} < 0 THEN -1 ELSE 1 END"
+    return f"CASE WHEN {count} > 0 THEN CAST({sign} * CAST({cents} AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) END"
 
 
 def is_blank(text: Column) -> Column:
@@ -78,3 +91,20 @@ def request_address(host: Column, endpoint: Column) -> Column:
 
 def total_message(total: Column) -> Column:
     return F.format_string(TOTAL_MESSAGE, total)
+
+
+def escape_breaks(text: Column) -> Column:
+    """Line breaks and backslashes as two characters each, for formats with one row to a line."""
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def restore_breaks(text: Column) -> Column:
+    """Undoes ``escape_breaks``: pairs of backslashes first part the text, so none is taken for an escape."""
+    parts = F.split(text, r"\\\\", -1)
+    restored = F.transform(
+        parts,
+        lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    return F.when(text.contains("\\"), F.array_join(restored, "\\")).otherwise(text)

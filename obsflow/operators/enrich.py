@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.fixed_values import COORDINATE_SCALE
@@ -11,20 +11,25 @@ from obsflow.operators.rounded_join import ROUNDED_KEY, keyed_locations, with_ro
 ADDRESS = ["city", "state", "postcode", "country"]
 
 
+def fullest_address() -> Column:
+    """Of several addresses of one place the one with the fewest gaps, then the first by its fields."""
+    gaps = sum((F.col(c).isNull().cast("int") for c in ADDRESS), F.lit(0))
+    return F.min(F.struct(gaps.alias("gaps"), F.struct(*ADDRESS).alias("address")))["address"]
+
+
 def lookup_location(
     points: DataFrame, gazetteer: DataFrame, scale: int = COORDINATE_SCALE
 ) -> DataFrame:
     """One location row per distinct coordinate; unknown address fields are null.
 
     Points are reduced to distinct coordinates first, and the gazetteer to one
-    address per rounded key, so no key is heavy on either side.
+    address per rounded key, the fullest, so no key is heavy on either side.
     """
     distinct_points = points.select("latitude", "longitude").distinct()
-    address = F.struct(*ADDRESS)
     known = (
         keyed_locations(gazetteer, scale)
         .groupBy(*ROUNDED_KEY)
-        .agg(F.min(address).alias("_address"))
+        .agg(fullest_address().alias("_address"))
     )
     return (
         with_rounded_key(distinct_points, scale)

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsflow.operators.quality import assert_clean
+from obsflow.operators.quality import assert_clean, rule_flags, split_by_rules
 from obsflow.sinks.tables import BaseTable
 
+# A batch of up to so many rows is looked for in the target; a larger one is compared with all of it.
+SMALL_BATCH = 1_000_000
+
 
 def except_rows(batch: DataFrame, target: DataFrame) -> DataFrame:
     """Distinct rows of the batch that the target does not hold, nulls being equal.
@@ -56,6 +59,16 @@ def new_keys(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return batch.join(target.select(*keys).distinct(), keys, "left_anti")
 
 
+def new_keys_of_small(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for a batch that is small beside the target, whose keys are unique.
+
+    The target is first cut to the keys of the batch. That join may build its right side, so
+    for a batch of a size that Spark broadcasts the target is only scanned, not shuffled.
+    """
+    held = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    return batch.join(held, keys, "left_anti")
+
+
 def new_rows(
     batch: DataFrame, target: DataFrame, keys: list[str], order_by: list[str] | None = None
 ) -> DataFrame:
@@ -72,9 +85,13 @@ def merge_insert_only(
     table: BaseTable,
     on_duplicate: str = "error",
     order_by: list[str] | None = None,
+    quarantine: str | None = None,
 ) -> None:
     """Append the rows whose key is not stored yet. First writer wins.
 
+    A row that breaks a rule of the table fails the merge. With ``quarantine``, a folder, such rows
+    are written there instead, as JSON with the rules they break, and the others are merged.
+
     ``on_duplicate="error"`` refuses a batch that repeats a key; ``"first"`` keeps the first
     row by ``order_by``. The batch is read several times, so pass a stored table, not a
     frame that parses text. One writer per table: two merges at once could both add a key.
@@ -90,6 +107,9 @@ def merge_insert_only(
     span = {}
     if table.partition is not None:
         span = {"low": F.min(table.partition), "high": F.max(table.partition)}
+    if quarantine is not None:
+        batch, broken = split_by_rules(batch, rule_flags(table.required, texts))
+        broken.write.mode("overwrite").json(quarantine)
     found = assert_clean(batch, table.required, texts, unique, **span)
     if found["rows"] == 0:
         return
@@ -97,6 +117,9 @@ def merge_insert_only(
         # The partition value follows from the key, so only the partitions the
         # batch spans can hold one of its keys.
         target = target.filter(F.col(table.partition).between(found["low"], found["high"]))
+    # It is part of the join as well, so that of a wide span only the days that occur are read.
+    keys = [*table.keys, table.partition] if span else table.keys
     if on_duplicate == "first":
         batch = first_per_key(batch, table.keys, order_by)
-    table.append(new_keys(batch, target, table.keys))
+    find = new_keys_of_small if found["rows"] <= SMALL_BATCH else new_keys
+    table.append(find(batch, target, keys))

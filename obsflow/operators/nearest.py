@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsflow.functions.scalars import as_coordinate
-from obsflow.operators.enrich import ADDRESS
+from obsflow.operators.enrich import ADDRESS, fullest_address
 from obsflow.operators.rounded_join import ROUNDED_KEY, keyed_locations
 
 # Each level splits an axis in 4; the smallest cube measures about 50 m. Places are distinct at
@@ -56,7 +56,7 @@ def write_place_index(gazetteer: DataFrame, folder: str) -> DataFrame:
     places = (
         keyed_locations(gazetteer)
         .groupBy(*ROUNDED_KEY)
-        .agg(F.min(F.struct(*ADDRESS)).alias("address"))
+        .agg(fullest_address().alias("address"))
         .dropna(subset=ROUNDED_KEY)
         .withColumns(_on_sphere(*(F.col(c) for c in ROUNDED_KEY)))
         .select("*", *[_leaf(axis) for axis in AXES])

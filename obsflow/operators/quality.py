@@ -39,6 +39,13 @@ def rule_flags(required: list[str], texts: list[str]) -> dict[str, Column]:
     return flags | {f"{c} is too long": F.length(c) > MAX_TEXT_LENGTH for c in texts}
 
 
+def split_by_rules(rows: DataFrame, flags: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """(rows that break no rule, the others with a column ``broken``: the names of the rules they break)."""
+    names = F.array(*[F.when(flag, F.lit(name)) for name, flag in flags.items()])
+    judged = rows.withColumn("broken", F.array_compact(names))
+    return judged.filter(F.size("broken") == 0).drop("broken"), judged.filter(F.size("broken") > 0)
+
+
 def assert_clean(
     rows: DataFrame,
     required: list[str],

@@ -7,11 +7,11 @@ per place and day, then join, then group by city.
 from __future__ import annotations
 
 from obsflow.fixed_values import (
-    AVERAGE_SCALE,
     COORDINATE_SCALE,
     DAILY_MAX_VIEW,
     DAILY_STATS_VIEW,
 )
+from obsflow.functions.scalars import exact_average
 
 
 def _placed(hourly: str, location: str) -> str:
@@ -43,8 +43,7 @@ GROUP BY country, state, city, date""",
 SELECT country, state, city, date,
        max(high) AS max_temperature,
        min(low) AS min_temperature,
-       CAST(round(try_divide(sum(total), sum(n)), {AVERAGE_SCALE}) AS DECIMAL(18,2))
-           AS average_temperature
+       {exact_average("sum(total)", "sum(n)")} AS average_temperature
 FROM placed
 GROUP BY country, state, city, date""",
     }

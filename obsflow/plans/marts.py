@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.fixed_values import AVERAGE_SCALE, COORDINATE_SCALE
-from obsflow.functions.scalars import as_measure
+from obsflow.fixed_values import COORDINATE_SCALE
+from obsflow.functions.scalars import as_measure, exact_average
 from obsflow.operators.rounded_join import ROUNDED_KEY, keyed_locations, with_rounded_key
 
 
@@ -29,8 +29,7 @@ def summarize(
 
 
 def _average() -> Column:
-    mean = F.try_divide(F.sum("_sum"), F.sum("_count"))
-    return F.round(mean, AVERAGE_SCALE).cast("decimal(18,2)")
+    return F.expr(exact_average("sum(_sum)", "sum(_count)"))
 
 
 def _day(hourly: DataFrame) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obsflow.fixed_values import DAILY_MAX_VIEW, DAILY_STATS_VIEW
 from obsflow.operators.flatten import flatten_current, flatten_hourly
@@ -13,6 +14,7 @@ from obsflow.operators.screening import split_documents
 from obsflow.plans.mart_views import mart_queries
 from obsflow.plans.marts import daily_max, daily_stats
 from obsflow.schemas import (
+    CORRUPT_COLUMN,
     CURRENT_KEY,
     CURRENT_WEATHER,
     HOURLY_KEY,
@@ -92,26 +94,35 @@ def load_documents(
     store: WeatherStore,
     run: str,
     on_duplicate: str = "error",
+    strict: bool = True,
 ) -> None:
     """Screen one batch of documents and merge it into the base tables.
 
-    ``run`` names the batch: a repeated run replaces its own rejects and adds nothing.
+    ``run`` names the batch: a repeated run replaces its own rejects and adds nothing. With
+    ``strict`` a row that breaks a rule of its table fails the load, as in a database; without, it is
+    set aside under the rejects of the run and the others are loaded.
     """
     staged = stage(spark, documents, staging_folder(spark, store.root))
     good, rejected = split_documents(staged)
     rejected.write.mode("overwrite").json(store.rejected(run))
-    merge_insert_only(flatten_hourly(good), store.hourly, on_duplicate)
-    merge_insert_only(flatten_current(good), store.current, on_duplicate)
+    for name, rows, table in (
+        ("hourly_weather", flatten_hourly(good), store.hourly),
+        ("current_weather", flatten_current(good), store.current),
+    ):
+        aside = None if strict else f"{store.rejected(run)}-{name}"
+        merge_insert_only(rows, table, on_duplicate, quarantine=aside)
 
 
 def export_flat_csv(spark: SparkSession, landing: str | list[str], folder: str) -> None:
     """Landed documents as two folders of headerless CSV, for loading elsewhere.
 
-    The documents are stored once and read twice, each time only the half that is needed.
+    The documents are stored once and read twice, each time only the half that is needed. Rejected
+    ones are kept as JSON in the folder ``rejected`` beside the two.
     """
     pin_utc(spark)
     documents = read_weather_documents(spark, landing)
-    good, _ = split_documents(stage(spark, documents, staging_folder(spark, folder)))
+    good, rejected = split_documents(stage(spark, documents, staging_folder(spark, folder)))
+    rejected.write.mode("overwrite").json(f"{folder}/rejected")
     write_headerless_csv(flatten_hourly(good), f"{folder}/hourly_weather")
     write_headerless_csv(flatten_current(good), f"{folder}/current_weather")
 
@@ -119,12 +130,18 @@ def export_flat_csv(spark: SparkSession, landing: str | list[str], folder: str)
 def load_flat_csv(
     spark: SparkSession, folder: str, store: WeatherStore, on_duplicate: str = "error"
 ) -> None:
-    """Merge two such folders into the base tables, through a staging copy of each."""
+    """Merge two such folders into the base tables, through a staging copy of each.
+
+    Lines that are no row of their table are kept as JSON in ``<folder>-rejected``, by table.
+    """
     pin_utc(spark)
     for name, table in (("hourly_weather", store.hourly), ("current_weather", store.current)):
-        rows = read_headerless_csv(spark, f"{folder}/{name}", table.schema)
+        rows = read_headerless_csv(spark, f"{folder}/{name}", table.schema, corrupt=CORRUPT_COLUMN)
         staged = stage(spark, rows, staging_folder(spark, f"{store.root}/{name}"))
-        merge_insert_only(staged, table, on_duplicate)
+        bad = staged.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(F.col(CORRUPT_COLUMN).alias("line"))
+        bad.write.mode("overwrite").json(f"{folder.rstrip('/')}-rejected/{name}")
+        good = staged.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+        merge_insert_only(good, table, on_duplicate)
 
 
 def publish_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFrame]:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsflow.fixed_values import PREVIEW_ROWS
+from obsflow.functions.scalars import escape_breaks
 
 
 def write_headerless_csv(rows: DataFrame, path: str, single_file: bool = False) -> None:
@@ -21,7 +23,19 @@ def append_headerless_csv(rows: DataFrame, path: str) -> None:
 
 
 def _csv(rows: DataFrame, path: str, mode: str) -> None:
-    rows.write.mode(mode).option("header", False).option("sep", ",").csv(path)
+    """Every text comes back as it is: blanks at its ends stay, quotes are doubled, line breaks are escaped.
+
+    Escaped breaks keep one row on one line, so that large files can still be split.
+    """
+    escaped = {
+        f.name: escape_breaks(F.col(f"`{f.name}`")) for f in rows.schema.fields if isinstance(f.dataType, T.StringType)
+    }
+    (
+        rows.withColumns(escaped)
+        .write.mode(mode)
+        .options(header=False, sep=",", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
 
 
 def land_documents(documents: DataFrame, folder: str, stamp: str | None = None) -> None:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obsflow.functions.scalars import restore_breaks
+
 
 def read_layer(
     spark: SparkSession, root: str, layer: str, entity: str, fmt: str = "parquet"
@@ -59,14 +62,27 @@ def read_remote_ranges(
 
 
 def read_headerless_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType
+    spark: SparkSession, path: str | list[str], schema: T.StructType, corrupt: str | None = None
 ) -> DataFrame:
-    """Comma-separated files without a header; an empty field is null."""
-    return (
-        spark.read.schema(schema)
-        .option("header", False)
-        .option("sep", ",")
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .csv(path)
+    """Comma-separated files without a header, as ``write_headerless_csv`` leaves them; an empty field is null.
+
+    A row with too few or too many fields, or with one that doesn't fit its type, fails the read. With
+    ``corrupt`` it is kept instead, its whole line in a column of that name, which is null in good rows.
+    """
+    wanted = schema if corrupt is None else T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    reader = spark.read.schema(wanted).options(
+        header=False,
+        sep=",",
+        escape='"',
+        nullValue="",
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        enforceSchema=True,
+        mode="FAILFAST" if corrupt is None else "PERMISSIVE",
     )
+    if corrupt is not None:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    rows = reader.csv(path)
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return rows.withColumns({c: restore_breaks(F.col(f"`{c}`")) for c in texts})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from obsflow.plans.weather import WeatherStore, load_documents
@@ -22,7 +24,7 @@ def run_available(
 
     The checkpoint takes each file once across restarts. Should a batch be repeated after
     a failure, the merge skips what it stored already, so the outcome is the same. A batch
-    that breaks a rule of the tables fails the load and is tried again by the next one.
+    whose rows break a rule of the tables loses only those: they are kept with the rejects.
     ``files_per_batch`` bounds the work of one batch; older files go first. With ``archive``
     loaded files are moved to that folder, so that the landing folder stays quick to list.
     """
@@ -39,9 +41,12 @@ def run_available(
     if archive is not None:
         stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
+    # Batches of every checkpoint count from 0, so its name is part of that of the rejects.
+    stream_name = "batch-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def load(batch: DataFrame, number: int) -> None:
         # The session of the caller, unlike the one of the stream, plans adaptively.
-        load_documents(spark, batch, store, f"batch-{number}", on_duplicate)
+        load_documents(spark, batch, store, f"{stream_name}-{number}", on_duplicate, strict=False)
 
     (
         stream.json(landing)

@@ -168,3 +168,33 @@ def test_store_in_the_catalog(spark, tmp_path, locations):
     with pytest.raises(ValueError):
         WeatherStore("weather_db").rejected("r")
     spark.sql("DROP DATABASE weather_db CASCADE")
+
+
+def test_rejects_of_two_checkpoints_and_bad_rows_are_all_kept(spark, tmp_path):
+    store = WeatherStore(str(tmp_path / "store"))
+    for k in (1, 2):
+        landing = tmp_path / f"landing{k}"
+        land(landing, "good", document(k, [1, 2]))
+        land(landing, "bad", "{broken")
+        hours = document(10 + k, [3, 4])
+        del hours["hourly"][0]["dt"]
+        land(landing, "row", hours)
+        run_available(spark, str(landing), store, str(tmp_path / f"offsets{k}"))
+    assert store.hourly.read(spark).count() == 6
+    kept = spark.read.json(f"{tmp_path}/store/rejected").groupBy("run").count().collect()
+    assert sum(r["count"] for r in kept) == 4
+
+
+def test_bad_lines_and_documents_are_kept_in_a_hand_over(spark, tmp_path):
+    from obsflow.plans.weather import export_flat_csv, load_flat_csv
+
+    landing, folder = tmp_path / "landing", str(tmp_path / "flat")
+    land(landing, "1", document(1, [1, 2]))
+    land(landing, "2", "{broken")
+    export_flat_csv(spark, str(landing), folder)
+    assert spark.read.json(f"{folder}/rejected").count() == 1
+    spark.createDataFrame([("too,short",)], "value string").write.mode("append").text(f"{folder}/hourly_weather")
+    store = WeatherStore(str(tmp_path / "store"))
+    load_flat_csv(spark, folder, store)
+    assert store.hourly.read(spark).count() == 2
+    assert [r.line for r in spark.read.json(f"{folder}-rejected/hourly_weather").collect()] == ["too,short"]

@@ -7,7 +7,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import types as T
 
-from obsflow.operators.merge import except_rows, first_per_key, merge_insert_only, new_rows
+from obsflow.operators.merge import (
+    except_rows,
+    first_per_key,
+    merge_insert_only,
+    new_keys_of_small,
+    new_rows,
+)
 from obsflow.operators.quality import (
     QualityError,
     assert_clean,
@@ -190,3 +196,26 @@ def test_merge_shuffles_the_batch_once_before_writing(spark, tmp_path):
     finally:
         spark.conf.unset(threshold)
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_small_batch_does_not_shuffle_the_base(spark, tmp_path):
+    table = BaseTable(str(tmp_path / "base"), SCHEMA, KEYS, KEYS)
+    table.append(table.conform(spark.range(5000).selectExpr(
+        "concat('p', id) AS place", "timestamp_seconds(id) AS moment", "CAST(1 AS DECIMAL(18,6)) AS temp")))
+    table.conform(rows(spark, ("a", 1, 0, 1))).write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    found = new_keys_of_small(batch, table.read(spark), KEYS)
+    assert len(found.collect()) == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_broken_rows_are_set_aside(spark, tmp_path):
+    table = BaseTable(str(tmp_path / "base"), SCHEMA, KEYS, KEYS)
+    batch = rows(spark, ("a", 1, 0, 1), (None, 1, 0, 2), ("x" * 300, 2, 0, 3))
+    with pytest.raises(QualityError):
+        merge_insert_only(batch, table)
+    merge_insert_only(batch, table, quarantine=str(tmp_path / "aside"))
+    assert [r.place for r in table.read(spark).collect()] == ["a"]
+    broken = spark.read.json(str(tmp_path / "aside")).collect()
+    assert sorted(r.broken[0] for r in broken) == ["place is null", "place is too long"]

@@ -159,3 +159,27 @@ def test_work_folders():
     local = _Cluster("local[2]")
     session.work_folder(local, "x")
     assert local.conf["spark.checkpoint.dir"]
+
+
+TEXTS = [" blank at the ends ", 'quote " and, comma', "back\\slash \\n \\\\n", "two\nlines\r\nthree", "\\", '"', "tab\t", "\\\n"]
+
+
+def test_csv_keeps_any_text(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "n int, t string")
+    write_headerless_csv(rows, path)
+    again = read_headerless_csv(spark, path, rows.schema)
+    assert sorted(map(tuple, again.collect())) == list(enumerate(TEXTS))
+
+
+def test_csv_lines_that_are_no_rows(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    lines = ["a,1", "b,x", "c", "d,2,3", ",4"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    schema = "t string, n int"
+    schema = spark.createDataFrame([], schema).schema
+    found = read_headerless_csv(spark, path, schema, corrupt="bad").collect()
+    assert sorted((r.bad or "") for r in found) == ["", "", "b,x", "c", "d,2,3"]
+    assert sorted(((r.t, r.n) for r in found if r.bad is None), key=str) == [("a", 1), (None, 4)]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        read_headerless_csv(spark, path, schema).collect()

@@ -21,7 +21,7 @@ def test_order_message(spark):
 def test_totals_over_maps(spark):
     rows = spark.createDataFrame([("a", '{"x": 1.5}'), ("a", '{"x": 2, "y": 3}'), ("b", "{}")], "k string, t string")
     amounts = rows.select("k", parse_amounts(F.col("t")).alias("m"))
-    assert {r.k: r.total for r in total_by(amounts, ["k"], "m").collect()} == {"a": 6.5}
+    assert {r.k: r.total for r in total_by(amounts, ["k"], "m").collect()} == {"a": 6.5, "b": 0.0}
     assert [r[0] for r in amounts.select(total_of(F.col("m"))).collect()] == [1.5, 5.0, 0.0]
 
 
@@ -79,3 +79,41 @@ def test_scalars(spark):
     lookup = F.from_json(lit('{"city": "Rome"}'), "map<string,string>")
     assert one(spark, scalars.optional(lookup, "city")) == "Rome"
     assert one(spark, scalars.optional(lookup, "state")) is None
+
+
+def test_averages_are_rounded_once(spark):
+    from decimal import Decimal
+
+    from obsflow.functions.scalars import exact_average
+
+    cases = [
+        (["2.004999", "2.005000"], "2.00"),
+        (["-2.004999", "-2.005000"], "-2.00"),
+        (["2.005000"], "2.01"),
+        (["-2.005"], "-2.01"),
+        (["0.00"] * 10001 + ["0.01"] * 10000, "0.00"),
+        ([None], None),
+    ]
+    data = [(k, None if v is None else Decimal(v)) for k, (values, _) in enumerate(cases) for v in values]
+    rows = spark.createDataFrame(data, "k int, v decimal(18,6)")
+    found = rows.groupBy("k").agg(F.expr(exact_average("sum(v)", "count(v)")).alias("a")).collect()
+    assert {r.k: r.a for r in found} == {k: None if a is None else Decimal(a) for k, (_, a) in enumerate(cases)}
+
+
+def test_keys_are_rounded_once(spark):
+    from obsflow.functions.scalars import rounded
+
+    rows = spark.createDataFrame([("30.1234499999",), ("30.12345",), ("-0.00005",), ("x",)], "t string")
+    assert [None if r[0] is None else str(r[0]) for r in rows.select(rounded(F.col("t"))).collect()] == ["30.1234", "30.1235", "-0.0001", None]
+
+
+def test_fuller_address_wins(spark):
+    from obsflow.operators.enrich import lookup_location
+
+    kind = "latitude decimal(9,6), longitude decimal(9,6), city string, state string, postcode string, country string"
+    from decimal import Decimal as D
+
+    gazetteer = spark.createDataFrame([(D("1.00001"), D(2), None, "A", None, "X"), (D("1.00002"), D(2), "Town", "B", None, "X")], kind)
+    points = spark.createDataFrame([(D(1), D(2))], "latitude decimal(9,6), longitude decimal(9,6)")
+    found = lookup_location(points, gazetteer).first()
+    assert (found.city, found.state) == ("Town", "B")
