@@ -32,10 +32,12 @@ LABELLERS = (
     ("few_words", -1.0, 0.67),
 )
 ROUNDS = 100
+#: Between which bounds the accuracy of votes against and for a text is estimated.
+AGAINST, FOR = (0.9, 0.995), (0.5, 0.75)
 FIT_ROWS = 20_000
 PARTS = 8
 BITS = 14
-STEPS, RATE, DECAY = 150, 2.0, 1e-4
+STEPS, RATE, DECAY = 300, 4.0, 1e-4
 #: A text whose posterior lies between the share of good texts and certainty scores above this; a vote against it brings it below.
 KEEP_FROM = 0.75
 
@@ -51,6 +53,8 @@ _CAPITAL = np.array([65 <= b <= 90 for b in range(256)])
 _LETTER = np.array([chr(b).isalpha() or b >= 128 for b in range(256)])
 _DIGIT = np.array([48 <= b <= 57 for b in range(256)])
 LEVELS = 12
+#: Value of a measure's level as a feature, beside shares whose squares sum to 1.
+LEVEL_VALUE = 1.0
 SIZE = (1 << BITS) + len(LABELLERS) * LEVELS
 
 
@@ -93,20 +97,23 @@ def votes(found: np.ndarray) -> np.ndarray:
 
 
 def latent_classes(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[float, np.ndarray, np.ndarray]:
-    """(share of good texts, accuracy of each labeller where it votes, posterior of good by pattern).
+    """(share of good texts, accuracies of each labeller's votes against and for, posterior of good by pattern).
 
-    A labeller votes as often on good texts as on bad ones and is right with its own probability, one of
-    1/2 or more; that keeps a rare kind of bad text, on which one labeller alone votes, from passing as good.
+    A labeller votes as often on good texts as on bad ones and is right with a probability of its own for either vote, kept
+    within AGAINST and FOR. The bounds keep a rare kind of bad text, on which one labeller alone votes, from passing as good
+    because all others have nothing to say.
     """
     side = patterns.astype(float) - 1
     good = np.clip(0.5 + side.sum(axis=1) / 2, 0.05, 0.95)
-    share, accuracy = 0.5, np.full(patterns.shape[1], 0.8)
+    share, accuracy = 0.5, np.zeros((2, patterns.shape[1]))
     for _ in range(rounds):
         share = float(np.clip((counts * good).sum() / counts.sum(), 0.01, 0.99))
-        right = np.where(side > 0, good[:, None], 1 - good[:, None]) * (side != 0) * counts[:, None]
-        voted = ((side != 0) * counts[:, None]).sum(axis=0)
-        accuracy = np.clip((right.sum(axis=0) + 4.0) / (voted + 5.0), 0.5, 0.995)
-        odds = np.log(share / (1 - share)) + side @ np.log(accuracy / (1 - accuracy))
+        odds = np.full(len(counts), np.log(share / (1 - share)))
+        for k, (vote, belief, bounds) in enumerate(((-1, 1 - good, AGAINST), (1, good, FOR))):
+            cast = (side == vote) * counts[:, None]
+            right = ((cast * belief[:, None]).sum(axis=0) + 4.0) / (cast.sum(axis=0) + 5.0)
+            accuracy[k] = np.clip(right, *bounds)
+            odds += vote * ((side == vote) @ np.log(accuracy[k] / (1 - accuracy[k])))
         good = 1 / (1 + np.exp(-odds))
     return share, accuracy, good
 
@@ -117,7 +124,7 @@ def features(data: np.ndarray, offsets: np.ndarray, found: np.ndarray) -> Iterat
     level = np.minimum((np.sqrt(found) * LEVELS).astype(int), LEVELS - 1) + np.arange(len(LABELLERS)) * LEVELS + (1 << BITS)
     for i in range(len(offsets) - 1):
         k = kind[offsets[i] : offsets[i + 1]]
-        places, values = level[i], np.full(len(LABELLERS), 0.5)
+        places, values = level[i], np.full(len(LABELLERS), LEVEL_VALUE)
         if len(k) > 2:
             code = (k[:-2] * 1024 + k[1:-1] * 32 + k[2:]) * np.uint32(2654435761) >> np.uint32(32 - BITS)
             seen = np.bincount(code, minlength=1 << BITS)
