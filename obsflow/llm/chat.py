@@ -146,7 +146,7 @@ def format_conversations(turns: DataFrame, parts: str = "parts") -> DataFrame:
 def parsed(formatted: Column) -> Column:
     """The turns (role, text) read back from formatted text; placeholders stay where they are."""
     framed = F.filter(F.split(formatted, r"<\|im_start\|>", -1), lambda _, i: i > 0)
-    header = r"(?s)^((?:[^\\\n]|\\.)*)\n"
+    header = r"(?s)^((?:[^\\\n]|\\.)*+)\n"
     return F.transform(
         framed,
         lambda t: F.struct(
