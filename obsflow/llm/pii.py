@@ -125,7 +125,6 @@ def _candidate(kind: int, c: Column) -> Column:
     """The span with its features, whether it is right, and whether a base span has it already."""
     name, hit = KINDS[kind], c["hit"]
     digits = F.length(_digits(hit))
-    apart = ~c["before"].rlike(r"[0-9][\x20-]?$") & ~c["after"].rlike(r"^[\x20-]?[0-9]")
     if name == "email":
         right = hit.rlike(r"^" + _LOCAL + r"+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$")
         check = F.when(hit.rlike(r"(?i)(\.|dot[\])]\x20?)[a-z]{2,10}$"), 1).otherwise(0)
@@ -136,7 +135,7 @@ def _candidate(kind: int, c: Column) -> Column:
     elif name == "card":
         right = digits.between(14, 19) & F.call_function("luhn_check", _digits(hit))
         check = F.when(F.call_function("luhn_check", _digits(hit)), 1).otherwise(0)
-        based = right & apart & ~hit.contains(".")
+        based = F.lit(False)  # a longer run of digits decides; overlaps with base spans are sorted out later
     else:
         right = c["before"].rlike(r"\+[0-9]{1,3}[\x20.(-]*$")
         check = F.when(hit.rlike(r"^\("), 2).when(hit.rlike(r"[-/.]"), 1).otherwise(0)
