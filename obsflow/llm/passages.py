@@ -1,9 +1,12 @@
 """Repeated passages: runs of consecutive sentences that occur before, in any text, are removed.
 
-A sentence ends at ``.``, ``!`` or ``?`` or at a line break; one of more than LONG words is also cut behind words that a hash picks,
-and after every AT_MOST, so that equal text is cut alike wherever it stands. From every sentence on, the shortest run of at least SENTENCES sentences and
-WORDS words is hashed (lower-cased words, white space aside) to 128 bits. Runs are joined globally by hash; the first by doc_id and place stays,
-and the sentences of every other are removed.
+A sentence ends at ``.``, ``!`` or ``?`` or at a line break. Where WINDOW words in a row hold no such end, the word of the smallest hash among
+them (the last, if several are equal) ends a piece too. Whether a word does depends on the words around it only, so equal text is cut alike
+wherever it stands, and pieces have at most WINDOW words. Any 5 * WINDOW - 1 whole words of a repeated passage hold SENTENCES pieces and WORDS words
+between cuts that all its copies share: WINDOW words up to the first, at most 3 * WINDOW in the pieces, and WINDOW - 1 that may be cut otherwise by what follows.
+
+From every sentence on, the shortest run of at least SENTENCES sentences and WORDS words is hashed (lower-cased words, white space aside) to
+128 bits. Runs are joined globally by hash; the first by doc_id and place stays, and the sentences of every other are removed.
 """
 
 from __future__ import annotations
@@ -19,10 +22,8 @@ from obsflow.llm.words import mix, text_blocks, words_of
 
 SENTENCES = 3
 WORDS = 20
-LONG = 16
-#: One word in so many ends a piece of a long sentence.
-CUT = 10
-AT_MOST = 16
+#: So many words in a row hold an end of a piece.
+WINDOW = 10
 
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
@@ -45,13 +46,13 @@ def sentences(words) -> np.ndarray:
     breaks = np.concatenate([[0], np.cumsum(_BREAK[words.data])])
     behind = np.append(words.start[1:], words.end[-1])
     ends = last | _ENDS[words.data[words.end - 1]] | (breaks[np.maximum(behind, words.end)] > breaks[words.end])
-    begin = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
-    size = np.diff(np.append(begin, n))
-    ends = ends | (np.repeat(size > LONG, size) & (words.hash % np.uint64(CUT) == 0))
-    # Where the hash picks none for long, as in one word over and over: every AT_MOST words.
-    begin = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
-    place = np.arange(n) - np.repeat(begin, np.diff(np.append(begin, n)))
-    return ends | (place % AT_MOST == AT_MOST - 1)
+    if n < WINDOW:
+        return ends
+    value = np.where(ends, np.uint64(0), words.hash | np.uint64(1))
+    # Backwards, so that the first smallest is the last.
+    at = n - 1 - (np.lib.stride_tricks.sliding_window_view(value[::-1], WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1))
+    ends[at] = True
+    return ends
 
 
 def runs(words, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -150,8 +151,8 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     ignored; an empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # Hashed twice rather than written: there are many runs, and all but a few are only needed to find those few.
-    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place int, a long, b long")
+    # Both sides of the join are made from one and the same shuffle.
+    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place int, a long, b long").repartition("a", "b")
     first = hashed.groupBy("a", "b").agg(F.min(F.struct("row", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     again = hashed.join(first.hint("merge"), ["a", "b"]).filter("row != first.row OR place != first.place")
     # Places of one document are gathered: no more than it has sentences.

@@ -77,3 +77,23 @@ def test_rows_without_id_and_empty_table(documents):
     found = remove_repeated_passages(documents([(1, text), (None, text), (1, text)])).collect()
     assert [r.n_removed for r in found] == [0, 0, 0]
     assert remove_repeated_passages(documents([])).count() == 0
+
+
+def spoken(chance, low, high, words):
+    out = []
+    while len(out) < words:
+        out += ["".join(chance.choice("abcdefghij") for _ in range(5)) for _ in range(chance.randint(low, high))]
+        out[-1] += "."
+    return out[:words]
+
+
+def test_no_passage_of_51_words_is_missed(documents):
+    chance = random.Random(9)
+    rows = []
+    for k, (low, high) in enumerate([(10, 16), (14, 16), (2, 12), (8, 30), (999, 999)] * 60):
+        passage = spoken(chance, low, high, 51)
+        rows += [(2 * k + j, " ".join(spoken(chance, low, high, 40 + 9 * j) + passage + spoken(chance, low, high, 45 + 7 * j))) for j in range(2)]
+        rows[-1] = (rows[-1][0], rows[-1][1].replace(" " + " ".join(passage) + " ", " x" + " ".join(passage) + "x "))
+    found = {r.doc_id: r.n_removed for r in remove_repeated_passages(documents(rows)).collect()}
+    assert not any(found[2 * k] for k in range(300))
+    assert sum(found[2 * k + 1] == 0 for k in range(300)) == 0
