@@ -5,8 +5,12 @@ them (the last, if several are equal) ends a piece too. Whether a word does depe
 wherever it stands, and pieces have at most WINDOW words. Any 5 * WINDOW - 1 whole words of a repeated passage hold SENTENCES pieces and WORDS words
 between cuts that all its copies share: WINDOW words up to the first, at most 3 * WINDOW in the pieces, and WINDOW - 1 that may be cut otherwise by what follows.
 
-From every sentence on, the shortest run of at least SENTENCES sentences and WORDS words is hashed (lower-cased words, white space aside) to
-128 bits. Runs are joined globally by hash; the first by doc_id and place stays, and the sentences of every other are removed.
+From every sentence on, and up to every sentence, the shortest run of at least SENTENCES sentences and WORDS words is hashed (lower-cased words,
+white space aside) to 128 bits. Every longer run is covered by such runs inside it. Runs are sorted globally by hash; the first by
+doc_id and place stays, and the sentences of every other are removed.
+
+Words are divided by ASCII white space, so in scripts without spaces a line, or what stands between two spaces, is one word, and only passages of
+WORDS such words are found.
 """
 
 from __future__ import annotations
@@ -56,16 +60,19 @@ def sentences(words) -> np.ndarray:
 
 
 def runs(words, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first sentence, sentence behind the last, two hashes) of the run from each sentence that has one; sentences count through the block."""
+    """(first sentence, sentence behind the last, two hashes) of the shortest runs from and up to each sentence, in order; sentences count through the block."""
     close = np.flatnonzero(ends) + 1
     begin = np.concatenate([[0], close[:-1]]).astype(np.int64)
     text = words.text[begin] if len(begin) else begin
-    by_count = np.arange(len(begin)) + SENTENCES - 1
-    by_words = np.searchsorted(close, begin + WORDS)
-    last = np.maximum(by_count, by_words)
-    first = np.flatnonzero(last < len(begin))
-    first = first[text[last[first]] == text[first]]
-    last = last[first]
+    place = np.arange(len(begin))
+    last = np.maximum(place + SENTENCES - 1, np.searchsorted(close, begin + WORDS))
+    first = np.minimum(place - SENTENCES + 1, np.searchsorted(begin, close - WORDS, side="right") - 1)
+    on, up = last < len(begin), first >= 0
+    on[on] = text[last[on]] == text[on]
+    up[up] = text[first[up]] == text[up]
+    # A run found both ways counts once.
+    both = np.unique(np.concatenate([place[on] * len(begin) + last[on], first[up] * len(begin) + place[up]]))
+    first, last = both // max(len(begin), 1), both % max(len(begin), 1)
     out = []
     for step in _STEPS:
         power = np.full(len(words.hash) + 1, step, dtype=np.uint64)
@@ -78,6 +85,13 @@ def runs(words, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return first, last + 1, *out
 
 
+def _new(of: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Which runs are the first of their hash in their text."""
+    new = np.zeros(len(a), dtype=bool)
+    new[np.unique(mix(a + mix(of.astype(np.uint64))), return_index=True)[1]] = True
+    return new
+
+
 def _hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start, data, offsets in text_blocks(batch.column(1)):
@@ -86,35 +100,55 @@ def _hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(ends):
                 continue
             first, _, a, b = runs(words, ends)
-            close = np.flatnonzero(ends)
-            of = words.text[close]
-            base = np.searchsorted(of, of[first])
+            of = words.text[np.flatnonzero(ends)][first]
+            place = np.arange(len(of)) - np.searchsorted(of, of)
+            # Later repeats within a text are found again when it is cut.
+            new = _new(of, a)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(start + of[first])),
-                    pa.array((first - base).astype(np.int32)),
-                    pa.array(a.view(np.int64)),
-                    pa.array(b.view(np.int64)),
+                    batch.column(0).take(pa.array(start + of[new])),
+                    pa.array(place[new].astype(np.int32)),
+                    pa.array(a[new].view(np.int64)),
+                    pa.array(b[new].view(np.int64)),
                 ],
                 names=["row", "place", "a", "b"],
             )
 
 
-def _without(data: np.ndarray, offsets: np.ndarray, removed: list[list[int] | None]) -> Iterator[tuple[bytes, int, int]]:
-    """(text without the sentences of the runs that begin at the given places, sentences, removed sentences) of each text."""
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, place) of the runs, sorted by hash, row and place, that aren't the first of their hash."""
+    before = np.zeros((4, 0), dtype=np.int64)
+    for batch in batches:
+        # The first run of the hash that the last batch ended with stands before this one.
+        runs = np.concatenate([before, [c.to_numpy().astype(np.int64) for c in batch.columns]], axis=1)
+        if not runs.shape[1]:
+            continue
+        new = np.append(True, (runs[2:, 1:] != runs[2:, :-1]).any(axis=0))
+        first = runs[:2, np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        later = (runs[:2] != first).any(axis=0)
+        before = np.concatenate([first[:, -1:], runs[2:, -1:]])
+        yield pa.RecordBatch.from_arrays([pa.array(runs[0, later]), pa.array(runs[1, later].astype(np.int32))], names=["row", "place"])
+
+
+def _without(data: np.ndarray, offsets: np.ndarray, named: list[bool], removed: list[list[int] | None]) -> Iterator[tuple[bytes, int, int]]:
+    """(text without the sentences of the runs at the given places and of repeats within a named text, sentences, removed sentences) of each text."""
     words = words_of(data, offsets)
     ends = sentences(words)
     close = np.flatnonzero(ends)
     of = words.text[close] if len(close) else close
     bound = np.searchsorted(of, np.arange(len(offsets)))
-    first, behind, _, _ = runs(words, ends)
+    first, behind, hashed, _ = runs(words, ends)
+    new = _new(of[first], hashed)
+    run = np.searchsorted(of[first], np.arange(len(offsets)))
     for i, places in enumerate(removed):
         a, b = bound[i], bound[i + 1]
         text = data[offsets[i] : offsets[i + 1]]
-        if not places:
+        gone = ~new[run[i] : run[i + 1]]
+        gone[places or []] = True
+        if not named[i] or not gone.any():
             yield text.tobytes(), int(b - a), 0
             continue
-        at = np.searchsorted(first, a + np.unique(places))
+        at = run[i] + np.flatnonzero(gone)
         depth = np.zeros(b - a + 1, dtype=np.int64)
         np.add.at(depth, first[at] - a, 1)
         np.add.at(depth, behind[at] - a, -1)
@@ -130,7 +164,8 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start, data, offsets in text_blocks(batch.column(1)):
             n = len(offsets) - 1
-            rows = list(_without(data, offsets, batch.column(2).slice(start, n).to_pylist()))
+            named = batch.column(0).slice(start, n).is_valid().to_pylist()
+            rows = list(_without(data, offsets, named, batch.column(2).slice(start, n).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(start, n),
@@ -147,14 +182,13 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
 
     A null text is empty. The first occurrence is the one of the smallest doc_id, then the earliest place; within one text
     later repeats go as well. Rows that share a doc_id count as one document, so of such rows with equal text the passages stay in each. A
-    row without doc_id takes no part and keeps its text. A whole copy of an earlier document ends up empty. Other columns are
+    row without doc_id takes no part and keeps its text. A whole copy of an earlier document ends up empty, if it has SENTENCES sentences and WORDS words. Other columns are
     ignored; an empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # Both sides of the join are made from one and the same shuffle.
-    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place int, a long, b long").repartition("a", "b")
-    first = hashed.groupBy("a", "b").agg(F.min(F.struct("row", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    again = hashed.join(first.hint("merge"), ["a", "b"]).filter("row != first.row OR place != first.place")
+    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place int, a long, b long")
+    # One shuffle; sorted runs pass by, so that no hash's runs are gathered.
+    again = hashed.repartition("a", "b").sortWithinPartitions("a", "b", "row", "place").mapInArrow(_later, "row long, place int")
     # Places of one document are gathered: no more than it has sentences.
     spans = again.select("row", "place").distinct().groupBy("row").agg(F.collect_list("place").alias("removed"))
     joined = source.join(spans, source["doc_id"] == spans["row"], "left").select("doc_id", "text", "removed")

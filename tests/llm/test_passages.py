@@ -79,6 +79,29 @@ def test_rows_without_id_and_empty_table(documents):
     assert remove_repeated_passages(documents([])).count() == 0
 
 
+def every_run(rows):
+    """By a plain loop over all runs of any length, in order."""
+    import pyarrow as pa
+
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        data = text.encode()
+        words = words_of(*next(iter(text_blocks(pa.array([text]), 10**9)))[1:])
+        close = np.flatnonzero(passages.sentences(words)).tolist()
+        begin = [0] + [c + 1 for c in close[:-1]]
+        gone, said = set(), data.lower().split()
+        for s in range(len(close)):
+            for e in range(s + passages.SENTENCES - 1, len(close)):
+                if close[e] + 1 - begin[s] >= passages.WORDS:
+                    run = tuple(said[begin[s] : close[e] + 1])
+                    if run in seen:
+                        gone |= set(range(s, e + 1))
+                    seen.add(run)
+        parts = [words.start[begin[k]] if k else 0 for k in range(len(close))] + [len(data)]
+        out[doc_id] = (b"".join(data[parts[k] : parts[k + 1]] for k in range(len(close)) if k not in gone).decode(), len(gone))
+    return out
+
+
 def spoken(chance, low, high, words):
     out = []
     while len(out) < words:
@@ -87,6 +110,19 @@ def spoken(chance, low, high, words):
     return out[:words]
 
 
+def test_like_a_loop_over_all_runs(documents):
+    chance = random.Random(8)
+    rows = []
+    for k in range(30):
+        passage = " ".join(spoken(chance, 2, 12, 60)) + ". "
+        rows += [(3 * k + j, " ".join(spoken(chance, 2, 12, 30)) + ". " + passage + " ".join(spoken(chance, 2, 12, 30))) for j in range(2)]
+    ended = " ".join(w + ("." if i in (9, 19, 29, 31, 33) else "") for i, w in enumerate(spoken(chance, 99, 99, 34)))
+    rows += [(200, ended), (201, ended), (202, "the " * 100), (203, ended + " " + ended)]
+    found = {r.doc_id: (r.text, r.n_removed) for r in remove_repeated_passages(documents(rows)).collect()}
+    assert found[201][0] == ""
+    assert found == every_run(rows)
+
+
 def test_no_passage_of_51_words_is_missed(documents):
     chance = random.Random(9)
     rows = []
