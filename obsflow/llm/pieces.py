@@ -260,12 +260,13 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256 of packed lists."""
+def digests(encoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256 of packed lists, and the columns to keep."""
     return encoded.select(
         "doc_id",
         F.floor(F.length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         F.sha2(F.concat("begins", "ends"), 256).alias("spans_sha256"),
+        *keep,
     )

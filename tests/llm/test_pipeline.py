@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import sys
 from pathlib import Path
 
@@ -32,6 +33,19 @@ def test_each_stage_does_its_work(spark, corpus):
     assert sorted((r.doc_id, r.n_tokens) for r in out) == sorted((r.doc_id, len(library.encode(r.text)) + 2) for r in docs.collect())
 
 
+def test_token_ids_and_spans_come_out(spark, documents):
+    texts = {1: "Plain words, and more of them.", 2: "Naïve café \u2460 12", 3: None}
+    out = corpus_pipeline.STAGES[-1][1](spark, documents(list(texts.items())), SF).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    assert {r.doc_id for r in out} == set(texts)
+    for r in out:
+        ids, begins, ends = (memoryview(bytes(x)).cast("I").tolist() for x in (r.ids, r.begins, r.ends))
+        text = texts[r.doc_id] or ""
+        assert ids[1:-1] == library.encode(text) and len(ids) == len(begins) == len(ends) == r.n_tokens
+        assert b"".join(text.encode()[b:e] for b, e in zip(begins, ends)) == text.encode()
+        assert hashlib.sha256(r.ids).hexdigest() == r.ids_sha256
+
+
 def test_run_and_empty_documents(spark, documents, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() > 150
     documents([]).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
