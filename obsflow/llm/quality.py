@@ -34,6 +34,10 @@ LABELLERS = (
 ROUNDS = 100
 #: Between which bounds the accuracy of votes against and for a text is estimated.
 AGAINST, FOR = (0.9, 0.995), (0.5, 0.75)
+#: The same for a labeller that speaks against texts without regard to what the others say: it may well be wrong most times.
+UNRELATED = (0.05, 0.995)
+#: Votes against are unrelated to the others' if they are so many times as frequent with them as without, and this many would meet by chance.
+RATIO, BY_CHANCE = (0.5, 2.0), 10.0
 FIT_ROWS = 20_000
 PARTS = 8
 BITS = 14
@@ -96,20 +100,34 @@ def votes(found: np.ndarray) -> np.ndarray:
     return np.where(found <= good, 2, np.where(found >= bad, 0, 1)).astype(np.int8)
 
 
+def unrelated(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each labeller, whether its votes against are about as frequent where another one votes against as elsewhere."""
+    against = patterns == 0
+    out = np.zeros(patterns.shape[1], dtype=bool)
+    for k in range(patterns.shape[1]):
+        other = np.delete(against, k, axis=1).any(axis=1)
+        cast, spoken = counts[against[:, k]].sum(), counts[other].sum()
+        both = counts[against[:, k] & other].sum()
+        with_others, alone = (both + 0.5) / (spoken + 1), (cast - both + 0.5) / (counts.sum() - spoken + 1)
+        out[k] = cast * spoken / counts.sum() >= BY_CHANCE and RATIO[0] <= with_others / alone <= RATIO[1]
+    return out
+
+
 def latent_classes(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[float, np.ndarray, np.ndarray]:
     """(share of good texts, accuracies of each labeller's votes against and for, posterior of good by pattern).
 
     A labeller votes as often on good texts as on bad ones and is right with a probability of its own for either vote, kept
     within AGAINST and FOR. The bounds keep a rare kind of bad text, on which one labeller alone votes, from passing as good
-    because all others have nothing to say.
+    because all others have nothing to say. A labeller whose votes against are unrelated to the others' has UNRELATED in place of AGAINST.
     """
+    least = np.where(unrelated(patterns, counts), UNRELATED[0], AGAINST[0])
     side = patterns.astype(float) - 1
     good = np.clip(0.5 + side.sum(axis=1) / 2, 0.05, 0.95)
     share, accuracy = 0.5, np.zeros((2, patterns.shape[1]))
     for _ in range(rounds):
         share = float(np.clip((counts * good).sum() / counts.sum(), 0.01, 0.99))
         odds = np.full(len(counts), np.log(share / (1 - share)))
-        for k, (vote, belief, bounds) in enumerate(((-1, 1 - good, AGAINST), (1, good, FOR))):
+        for k, (vote, belief, bounds) in enumerate(((-1, 1 - good, (least, AGAINST[1])), (1, good, FOR))):
             cast = (side == vote) * counts[:, None]
             right = ((cast * belief[:, None]).sum(axis=0) + 4.0) / (cast.sum(axis=0) + 5.0)
             accuracy[k] = np.clip(right, *bounds)

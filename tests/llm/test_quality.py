@@ -24,6 +24,22 @@ def test_rare_kinds_of_bad_text_are_told_apart():
     assert (accuracy[0] >= 0.9).all() and (accuracy[1] <= 0.75).all()
 
 
+def test_a_labeller_that_votes_at_random_is_found_out():
+    chance = np.random.default_rng(1)
+    truth = chance.random(20_000) < 0.9
+    given = np.ones((len(truth), 7), dtype=int)
+    for k in (0, 1, 3):
+        given[~truth & (chance.random(len(truth)) < 0.8), k] = 0
+    given[chance.random(len(truth)) < 0.2, 2] = 0
+    given[chance.random(len(truth)) < np.where(truth, 0.97, 0.5), 5] = 2
+    patterns, counts = np.unique(given, axis=0, return_counts=True)
+    share, accuracy, good = latent_classes(patterns, counts.astype(float))
+    assert abs(share - 0.9) < 0.08
+    assert abs(accuracy[0][2] - 0.1) < 0.08 and (accuracy[0][[0, 1, 3]] >= 0.9).all()
+    of = {tuple(p): g for p, g in zip(patterns, good)}
+    assert of[1, 1, 0, 1, 1, 2, 1] > 0.9 and of[0, 0, 1, 0, 1, 1, 1] < 0.1
+
+
 def test_votes():
     assert votes(np.zeros((1, 7)))[0].tolist().count(0) == 0
     assert votes(np.ones((1, 7)))[0].tolist() == [0] * 7
