@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import chat, exact_dedup, language, maxscore, mixing, near_dedup, passages, pieces, pii, quality
+from obsflow.llm import chat, exact_dedup, language, maxscore, mixing, near_dedup, passages, periodic, pieces, pii, quality, reversed_search, simhash
 from obsflow.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,18 @@ def op10_segmentation_language_id(spark: SparkSession, sf_dir: str) -> DataFrame
     return language.identify(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op11_anchor_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summary(periodic.collapse_periodic(table(spark, sf_dir, "documents"), loop=True))
+
+
+def op13_reversed_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_boosted_pii,
     op2_weak_label_quality,
@@ -98,6 +110,9 @@ _QUERIES: tuple[Query, ...] = (
     op8_hyperminhash_near_dedup,
     op9_heavy_hitter_exact_dedup,
     op10_segmentation_language_id,
+    op11_anchor_simhash_near_dedup,
+    op12_periodic_run_detection,
+    op13_reversed_lexical_search,
 )
 
 OP9_SQL = r"""
@@ -159,10 +174,40 @@ WITH whole AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+OP13_SQL = r"""
+WITH terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), whole AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes
+), counted AS (
+    SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM counted, whole GROUP BY term, docs
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+    FROM counted JOIN weights USING (term) JOIN wanted USING (term) JOIN sizes USING (doc_id), whole
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES = {
     "op4_chat_parts": OP4_SQL,
     "op5_maxscore_top_k": OP5_SQL,
     "op9_heavy_hitter_exact_dedup": OP9_SQL,
+    "op13_reversed_lexical_search": OP13_SQL,
 }
 
 

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from obsflow.llm import reversed_search
+from obsflow.llm.queries import OP13_SQL, queries
+from obsflow.llm.reversed_search import ranked_documents, terms_of
+from parity import connect, spark_rows, sql_rows
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_terms(text):
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or "")]
+
+
+def plain(docs, items, k=10):
+    docs = [(d, Counter(plain_terms(t))) for d, t in docs if d is not None]
+    docs = [(d, c, sum(c.values())) for d, c in docs if c]
+    total, all_terms = len(docs), sum(n for _, _, n in docs)
+    wanted = {}
+    for i, t in items:
+        if i is not None:
+            wanted.setdefault(i, set()).update(plain_terms(t))
+    out = []
+    for i, terms in wanted.items():
+        weight = {t: math.floor(1000 * math.log((2 * total + 2) / (2 * sum(t in c for _, c, _ in docs) + 1))) for t in terms}
+        scored = []
+        for d, c, n in docs:
+            m = 10 + (90 * n * total) // all_terms
+            score = sum(weight[t] * ((1_000_000_000 * c[t]) // (1000 * c[t] + 8 * m)) for t in terms)
+            if score > 0:
+                scored.append((-score, d))
+        out += [(i, r + 1, d, -s) for r, (s, d) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    def make(rows):
+        return spark.createDataFrame([(*r, None, "t", 1, 2) for r in rows], "item_id long, text string, doc_id long, term string, n long, score long")
+
+    return make
+
+
+def test_same_rows_as_sql(spark):
+    names, rows = spark_rows(queries()["op13_reversed_lexical_search"](spark, SF))
+    assert (names, rows) == sql_rows(connect(SF), OP13_SQL)
+
+
+def test_terms():
+    text = "Über-Maß l'été x1Y2 \x7f\x00 _a_ ÀB c d 中文 "
+    assert [t.decode() for part in terms_of(text.encode()) for t in part] == plain_terms(text)
+    assert list(terms_of(None)) == []
+
+
+def test_a_long_text_is_read_in_pieces(monkeypatch):
+    text = " ".join(random.Random(1).choice(["ab", "c-d", "Éf"]) for _ in range(300)).encode()
+    whole = [t for part in terms_of(text) for t in part]
+    monkeypatch.setattr(reversed_search, "PIECE", 5)
+    assert [t for part in terms_of(text) for t in part] == whole
+
+
+@pytest.mark.parametrize("block_terms", [1_000_000, 20])
+def test_like_brute_force(documents, items, block_terms):
+    chance = random.Random(2)
+    words = [f"w{k}" for k in range(60)] + ["Ärger", "über", "x"]
+
+    def text(n):
+        return " ".join(chance.choice(words) for _ in range(n)) + "."
+
+    docs = [(k, text(chance.randrange(1, 60))) for k in range(200)]
+    docs += [(300 + k, "same words w1 w2 w3") for k in range(40)] + [(7, text(30)), (7, text(30)), (None, text(30)), (400, None), (401, "--- !"), (402, text(30_000))]
+    wanted = [(k, text(chance.randrange(1, 20))) for k in range(25)] + [(30, None), (31, ""), (32, "nothing known here"), (33, "w1"), (33, "w2 w3 w3"), (None, "w1"), (34, "W1 w1")]
+    found = ranked_documents(documents(docs), items(wanted), block_terms=block_terms)
+    assert sorted(map(tuple, found.collect())) == plain(docs, wanted)
+
+
+def test_empty_tables(documents, items):
+    assert ranked_documents(documents([]), items([(1, "w")])).count() == 0
+    assert ranked_documents(documents([(1, "w")]), items([])).count() == 0
+    assert ranked_documents(documents([(1, None)]), items([(1, "w")])).count() == 0
