@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsflow.functions.scalars import as_date, as_long
+from obsflow.schemas import PATIENT, SEARCH
 
 
 def pages(bundles: DataFrame) -> DataFrame:
@@ -61,15 +62,48 @@ def reconcile_totals(bundles: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def patient_silver(bronze: DataFrame) -> DataFrame:
-    """Patients with typed columns, each distinct row once."""
-    resource = "data.resource"
-    kept = [
-        "active", "name", "resourceType", "address", "birthdate", "careProvider", "gender",
-        "identifier", "managingOrganization", "maritalStatus", "meta", "telecom",
-    ]
-    columns = [F.col(f"{resource}.{name}").alias(name) for name in kept]
-    columns[kept.index("birthdate")] = as_date(F.col(f"{resource}.birthdate")).alias("birthdate")
-    return bronze.select(
-        as_long(F.col(f"{resource}.id")).alias("id"), *columns, F.col("data.search").alias("search")
-    ).distinct()
+#: Silver columns behind ``id``, in order; the last is taken from the entry, the others from its resource.
+SILVER = [
+    "active", "name", "resourceType", "address", "birthdate", "careProvider", "gender",
+    "identifier", "managingOrganization", "maritalStatus", "meta", "telecom", "search",
+]
+
+
+def patient_silver(bronze: DataFrame, nested: str = "declared") -> DataFrame:
+    """Patients with typed columns, each distinct row once.
+
+    ``data`` is an entry: a struct, or a VARIANT that keeps it whole. Of a VARIANT, ``nested="whole"`` gives the columns
+    that hold lists and objects as VARIANT again, with every field that landed; "declared" gives them the types of the schema.
+    """
+    if nested not in ("declared", "whole"):
+        raise ValueError(f"unknown nested: {nested}")
+    if not isinstance(bronze.schema["data"].dataType, T.VariantType):
+        if nested == "whole":
+            raise ValueError("only bronze with VARIANT entries holds them whole")
+        resource = "data.resource"
+        columns = [F.col(f"{resource}.{name}").alias(name) for name in SILVER[:-1]]
+        columns[SILVER.index("birthdate")] = as_date(F.col(f"{resource}.birthdate")).alias("birthdate")
+        return bronze.select(
+            as_long(F.col(f"{resource}.id")).alias("id"), *columns, F.col("data.search").alias("search")
+        ).distinct()
+    kinds = {f.name.lower(): f.dataType for f in PATIENT.fields} | {"search": SEARCH}
+    text = "string"
+    # Fields go by name whatever their case, as they do in a struct; only this one is spelt in two ways.
+    birthdate = F.coalesce(*[F.try_variant_get("data", f"$.resource.{name}", text) for name in ("birthDate", "birthdate")])
+    columns = [as_long(F.try_variant_get("data", "$.resource.id", text)).alias("id")]
+    for name in SILVER:
+        path = "$.search" if name == "search" else f"$.resource.{name}"
+        kind = kinds[name.lower()]
+        if name == "birthdate":
+            columns.append(as_date(birthdate).alias(name))
+        elif nested == "whole" and isinstance(kind, (T.ArrayType, T.StructType)):
+            columns.append(F.try_variant_get("data", path, "variant").alias(name))
+        else:
+            columns.append(F.try_variant_get("data", path, kind.simpleString()).alias(name))
+    silver = bronze.select(*columns)
+    if nested == "declared":
+        return silver.distinct()
+    # VARIANT columns can't be compared, their canonical text can.
+    plain = [F.to_json(f.name) if isinstance(f.dataType, T.VariantType) else F.col(f.name) for f in silver.schema.fields]
+    digest = F.sha2(F.to_json(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(plain)])), 256)
+    return silver.withColumn("_digest", digest).dropDuplicates(["_digest"]).drop("_digest")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from obsflow.functions.scalars import is_blank
 from obsflow.schemas import CORRUPT_COLUMN, WEATHER_DOCUMENT
 
 
@@ -77,6 +78,17 @@ def read_bundles(
     return raw.select(total.alias("total"), F.when(F.col("entry").isNotNull(), pages).alias("entry"))
 
 
+def read_bundle_variants(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """Landed bundles whole: source_file, text, and bundle as VARIANT, null where the text is no JSON.
+
+    Nothing is inferred or declared, so no field is lost and the folder is read once. A document is a line, or a file
+    with ``multiline``. Blank lines are no documents.
+    """
+    lines = spark.read.text(path, wholetext=multiline)
+    named = lines.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("text"))
+    return named.filter(~F.coalesce(is_blank(F.col("text")), F.lit(True))).withColumn("bundle", F.try_parse_json("text"))
+
+
 def _bundle(total: T.DataType, entry: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("total", total), T.StructField("entry", entry)])
 
