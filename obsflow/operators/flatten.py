@@ -29,19 +29,35 @@ def _condition(entry: str) -> list[Column]:
     ]
 
 
-def flatten_hourly(documents: DataFrame) -> DataFrame:
-    """One row per hourly entry. Documents without entries give no row."""
+def _unfit(entry: str, names: list[str]) -> list[Column]:
+    """``unfit``: the measures whose value is there but doesn't fit their type, and so came out null."""
+    lost = [(F.col(f"{entry}.{name}"), name) for name in names]
+    flags = [F.when(raw.isNotNull() & as_measure(raw).isNull(), F.lit(name)) for raw, name in lost]
+    return [F.array_compact(F.array(*flags)).alias("unfit")]
+
+
+def unfit_flags(names: list[str]) -> dict[str, Column]:
+    """Rules that a flattened row breaks if a value of one of these measures was lost."""
+    return {f"{name} does not fit": F.array_contains("unfit", name) for name in names}
+
+
+def flatten_hourly(documents: DataFrame, unfit: bool = False) -> DataFrame:
+    """One row per hourly entry. Documents without entries give no row.
+
+    With ``unfit`` a column of that name tells which measures had a value that doesn't fit.
+    """
     entries = documents.select("lat", "lon", "timezone", F.explode("hourly").alias("entry"))
     return entries.select(
         *_place(),
         from_epoch(F.col("entry.dt")).alias("datetime"),
         *_measures("entry", HOURLY_MEASURES),
         *_condition("entry"),
+        *(_unfit("entry", HOURLY_MEASURES) if unfit else []),
     )
 
 
-def flatten_current(documents: DataFrame) -> DataFrame:
-    """One row per document that carries a current observation."""
+def flatten_current(documents: DataFrame, unfit: bool = False) -> DataFrame:
+    """One row per document that carries a current observation; ``unfit`` as for hourly entries."""
     return documents.filter(F.col("current").isNotNull()).select(
         *_place(),
         from_epoch(F.col("current.dt")).alias("requested_datetime"),
@@ -49,6 +65,7 @@ def flatten_current(documents: DataFrame) -> DataFrame:
         from_epoch(F.col("current.sunset")).alias("sunset"),
         *_measures("current", CURRENT_MEASURES),
         *_condition("current"),
+        *(_unfit("current", CURRENT_MEASURES) if unfit else []),
     )
 
 

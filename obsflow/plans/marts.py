@@ -16,15 +16,16 @@ from obsflow.operators.rounded_join import ROUNDED_KEY, keyed_locations, with_ro
 
 
 def summarize(
-    rows: DataFrame, keys: list[str | Column], value: Column | str = "temp"
+    rows: DataFrame, keys: list[str | Column], value: Column | str = "temp", also: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Highest, lowest, sum and number of values; summaries of summaries stay exact."""
+    """Highest, lowest, sum and number of values; summaries of summaries stay exact. ``also`` adds further aggregates."""
     measured = as_measure(F.col(value) if isinstance(value, str) else value)
     return rows.groupBy(*keys).agg(
         F.max(measured).alias("_max"),
         F.min(measured).alias("_min"),
         F.sum(measured).alias("_sum"),
         F.count(measured).alias("_count"),
+        *[aggregate.alias(name) for name, aggregate in (also or {}).items()],
     )
 
 
@@ -40,22 +41,32 @@ def _day(hourly: DataFrame) -> Column:
 def _days_by_location(
     hourly: DataFrame, locations: DataFrame, scale: int = COORDINATE_SCALE
 ) -> DataFrame:
-    """Summary per (rounded place, date), with the location columns.
+    """Summary per (rounded place, date), with the location columns."""
+    days = summarize(
+        with_rounded_key(hourly, scale), [*ROUNDED_KEY, _day(hourly).alias("date")]
+    )
+    return placed_days(days, locations, scale)
+
+
+def placed_days(days: DataFrame, locations: DataFrame, scale: int = COORDINATE_SCALE) -> DataFrame:
+    """Summaries per rounded place and date with the location columns.
 
     The join has no hint: a small location table is broadcast by its measured size,
     a large one is shuffled along with the summaries.
     """
-    days = summarize(
-        with_rounded_key(hourly, scale), [*ROUNDED_KEY, _day(hourly).alias("date")]
-    )
     return days.join(keyed_locations(locations, scale), ROUNDED_KEY)
 
 
 def daily_max(hourly: DataFrame, locations: DataFrame) -> DataFrame:
     """Highest temperature per city and date. Cities are told apart by state and country
     only, so all coordinates of a city count together."""
+    return daily_max_of(_days_by_location(hourly, locations))
+
+
+def daily_max_of(placed: DataFrame) -> DataFrame:
+    """The same from summaries per place and date."""
     return (
-        _days_by_location(hourly, locations)
+        placed
         .groupBy("country", "state", "city", "date", F.month("date").alias("month"))
         .agg(F.max("_max").alias("max_temperature"))
     )
@@ -63,8 +74,13 @@ def daily_max(hourly: DataFrame, locations: DataFrame) -> DataFrame:
 
 def daily_stats(hourly: DataFrame, locations: DataFrame) -> DataFrame:
     """Highest, lowest and average temperature per city and date."""
+    return daily_stats_of(_days_by_location(hourly, locations))
+
+
+def daily_stats_of(placed: DataFrame) -> DataFrame:
+    """The same from summaries per place and date."""
     return (
-        _days_by_location(hourly, locations)
+        placed
         .groupBy("country", "state", "city", "date")
         .agg(
             F.max("_max").alias("max_temperature"),
@@ -97,8 +113,12 @@ def daily_extremes(hourly: DataFrame, locations: DataFrame, label: str = "city")
 
     Of several places with the same temperature the first by name is given.
     """
-    days = _days_by_location(hourly, locations)
-    by_place = days.groupBy("date", label).agg(
+    return daily_extremes_of(_days_by_location(hourly, locations), label)
+
+
+def daily_extremes_of(placed: DataFrame, label: str = "city") -> DataFrame:
+    """The same from summaries per place and date."""
+    by_place = placed.groupBy("date", label).agg(
         F.max("_max").alias("_max"),
         F.min("_min").alias("_min"),
         F.sum("_sum").alias("_sum"),

@@ -8,21 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.fixed_values import DAILY_MAX_VIEW, DAILY_STATS_VIEW
-from obsflow.operators.flatten import flatten_current, flatten_hourly
+from obsflow.operators.flatten import flatten_current, flatten_hourly, unfit_flags
+from obsflow.operators.key_bitmaps import KeyBitmaps
 from obsflow.operators.merge import merge_insert_only
+from obsflow.operators.observed import Merged, merge_observed
 from obsflow.operators.screening import split_documents
+from obsflow.plans.day_summaries import DaySummaries, kept_marts
 from obsflow.plans.mart_views import mart_queries
 from obsflow.plans.marts import daily_max, daily_stats
 from obsflow.schemas import (
     CORRUPT_COLUMN,
     CURRENT_KEY,
+    CURRENT_MEASURES,
     CURRENT_WEATHER,
     HOURLY_KEY,
+    HOURLY_MEASURES,
     HOURLY_WEATHER,
     LOCATION,
     LOCATION_KEY,
 )
 from obsflow.session import pin_utc, staging_folder
+from obsflow.sinks.day_tables import days_of
 from obsflow.sinks.files import write_headerless_csv
 from obsflow.sinks.tables import BaseTable, create_view, publish_view
 from obsflow.sources.documents import read_weather_documents
@@ -35,10 +41,14 @@ class WeatherStore:
 
     ``root`` is a folder when it holds a slash, else a database of the catalog. A database
     keeps its views across sessions and needs ``rejects``, a folder for rejected documents.
+
+    With ``grain``, seconds that every hourly moment is a multiple of, loads look stored keys up in bitmaps and keep summaries per
+    place and day up to date, from which ``kept_marts`` are read.
     """
 
     root: str
     rejects: str | None = None
+    grain: int | None = None
 
     @property
     def is_folder(self) -> bool:
@@ -73,6 +83,19 @@ class WeatherStore:
             partition_from="requested_datetime",
         )
 
+    def _beside(self, name: str) -> str:
+        if self.rejects is None and not self.is_folder:
+            raise ValueError("a store in the catalog needs a folder for rejected documents")
+        return f"{self.root}/{name}" if self.is_folder else f"{self.rejects}-{name}"
+
+    @property
+    def hourly_keys(self) -> KeyBitmaps | None:
+        return KeyBitmaps(self.hourly, self._beside("hourly_keys"), self.grain) if self.grain else None
+
+    @property
+    def hourly_days(self) -> DaySummaries | None:
+        return DaySummaries(self.hourly, self._beside("hourly_days")) if self.grain else None
+
     def rejected(self, run: str) -> str:
         if self.rejects is None and not self.is_folder:
             raise ValueError("a store in the catalog needs a folder for rejected documents")
@@ -95,22 +118,33 @@ def load_documents(
     run: str,
     on_duplicate: str = "error",
     strict: bool = True,
-) -> None:
-    """Screen one batch of documents and merge it into the base tables.
+) -> dict[str, Merged]:
+    """Screen one batch of documents and merge it into the base tables. Gives what each merge saw.
 
     ``run`` names the batch: a repeated run replaces its own rejects and adds nothing. With
-    ``strict`` a row that breaks a rule of its table fails the load, as in a database; without, it is
+    ``strict`` a row that breaks a rule of its table, or has a value that doesn't fit its column, fails the load, as in a database; without, it is
     set aside under the rejects of the run and the others are loaded.
+
+    Text is parsed once and each table's rows are computed once, the checks being counted while they are written.
     """
-    staged = stage(spark, documents, staging_folder(spark, store.root))
+    folder = staging_folder(spark, store.root)
+    staged = stage(spark, documents, folder)
     good, rejected = split_documents(staged)
     rejected.write.mode("overwrite").json(store.rejected(run))
-    for name, rows, table in (
-        ("hourly_weather", flatten_hourly(good), store.hourly),
-        ("current_weather", flatten_current(good), store.current),
+    seen = {}
+    for name, rows, table, measures, bitmaps in (
+        ("hourly_weather", flatten_hourly(good, unfit=True), store.hourly, HOURLY_MEASURES, store.hourly_keys),
+        ("current_weather", flatten_current(good, unfit=True), store.current, CURRENT_MEASURES, None),
     ):
         aside = None if strict else f"{store.rejected(run)}-{name}"
-        merge_insert_only(rows, table, on_duplicate, quarantine=aside)
+        seen[name] = merge_observed(
+            rows, table, f"{folder}-{name}", on_duplicate, quarantine=aside, bitmaps=bitmaps, flags=unfit_flags(measures)
+        )
+    if store.hourly_days is not None:
+        added = seen["hourly_weather"].added
+        store.hourly_days.update(added)
+        store.hourly_days.heal(spark, days_of(added, store.hourly.partition))
+    return seen
 
 
 def export_flat_csv(spark: SparkSession, landing: str | list[str], folder: str) -> None:
@@ -163,6 +197,17 @@ def publish_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFra
     return marts
 
 
+def publish_kept_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFrame]:
+    """Four marts over the stored summaries of a store with a grain: both daily ones, monthly peaks and daily extremes."""
+    if store.hourly_days is None:
+        raise ValueError("only a store with a grain keeps summaries")
+    store.location.create(spark)
+    marts = kept_marts(spark, store.hourly_days, store.location.read(spark))
+    for name, mart in marts.items():
+        publish_view(mart, f"kept_{name}")
+    return marts
+
+
 def refresh_weather(
     spark: SparkSession,
     landing: str | list[str],

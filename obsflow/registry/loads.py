@@ -49,7 +49,7 @@ def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def hour_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     hours = _hours(spark, sf_dir)
     day = F.dayofmonth("datetime")
     later = hours.withColumn("temp", (F.col("temp") + 1).cast(MEASURE))
@@ -70,7 +70,7 @@ _HOUR_COLUMNS = """CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBL
        strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, event_id, CAST(temp AS DOUBLE) AS temp"""
 
 
-def _hour_table(spark: SparkSession) -> BaseTable:
+def hour_table(spark: SparkSession) -> BaseTable:
     return BaseTable(
         work_folder(spark, "store") + "/hours", HOUR_SCHEMA, HOURLY_KEY, HOURLY_KEY,
         partition="obs_date", partition_from="datetime",
@@ -78,16 +78,16 @@ def _hour_table(spark: SparkSession) -> BaseTable:
 
 
 def merge_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _hour_table(spark)
-    for batch in _batches(spark, sf_dir):
+    base = hour_table(spark)
+    for batch in hour_batches(spark, sf_dir):
         merge_insert_only(batch, base, "first", ["event_id"])
     return base.read(spark).drop("obs_date")
 
 
 def merge_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each batch loaded twice, the first once more at the end: nothing changes."""
-    base = _hour_table(spark)
-    first, second = _batches(spark, sf_dir)
+    base = hour_table(spark)
+    first, second = hour_batches(spark, sf_dir)
     for batch in (first, first, second, second, first):
         merge_insert_only(batch, base, "first", ["event_id"])
     return base.read(spark).drop("obs_date")
@@ -131,7 +131,7 @@ def staging_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{new_database(spark)}.hours_staged"
     create_table(spark, name, HOUR_SCHEMA)
     create_table(spark, name, HOUR_SCHEMA)
-    for batch in _batches(spark, sf_dir):
+    for batch in hour_batches(spark, sf_dir):
         reload_table(batch, name)
     return spark.table(name)
 
@@ -205,7 +205,7 @@ QUERIES = {
     "incremental_available_now": incremental,
 }
 
-_MERGED_SQL = f"""
+MERGED_SQL = f"""
 WITH {_HOURS_SQL}, loaded AS (
     SELECT * FROM first_batch
     QUALIFY row_number() OVER (PARTITION BY latitude, longitude, datetime ORDER BY event_id) = 1
@@ -224,8 +224,8 @@ _HOUR_WINDOW = """row_number() OVER (
         ORDER BY timezone, temp, feels_like, pressure, humidity, dew_point, uvi) = 1"""
 
 ORACLES = {
-    "merge_two_batches": _MERGED_SQL,
-    "merge_reruns": _MERGED_SQL,
+    "merge_two_batches": MERGED_SQL,
+    "merge_reruns": MERGED_SQL,
     "dedupe_first_per_key": f"""
 WITH {_HOURS_SQL}
 SELECT {_HOUR_COLUMNS} FROM hours
