@@ -30,21 +30,20 @@ def _condition(entry: str) -> list[Column]:
 
 
 def _unfit(entry: str, names: list[str]) -> list[Column]:
-    """``unfit``: the measures whose value is there but doesn't fit their type, and so came out null."""
+    """For each measure whether its value is there but doesn't fit its type, and so came out null."""
     lost = [(F.col(f"{entry}.{name}"), name) for name in names]
-    flags = [F.when(raw.isNotNull() & as_measure(raw).isNull(), F.lit(name)) for raw, name in lost]
-    return [F.array_compact(F.array(*flags)).alias("unfit")]
+    return [(raw.isNotNull() & as_measure(raw).isNull()).alias(f"{name} does not fit") for raw, name in lost]
 
 
 def unfit_flags(names: list[str]) -> dict[str, Column]:
     """Rules that a flattened row breaks if a value of one of these measures was lost."""
-    return {f"{name} does not fit": F.array_contains("unfit", name) for name in names}
+    return {rule: F.col(f"`{rule}`") for rule in (f"{name} does not fit" for name in names)}
 
 
 def flatten_hourly(documents: DataFrame, unfit: bool = False) -> DataFrame:
     """One row per hourly entry. Documents without entries give no row.
 
-    With ``unfit`` a column of that name tells which measures had a value that doesn't fit.
+    With ``unfit`` there is a further column for each measure, whether it had a value that doesn't fit.
     """
     entries = documents.select("lat", "lon", "timezone", F.explode("hourly").alias("entry"))
     return entries.select(

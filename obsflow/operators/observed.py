@@ -34,12 +34,12 @@ def stage_observed(rows: DataFrame, folder: str, metrics: Mapping[str, Column])
 
 @dataclass(frozen=True)
 class Merged:
-    """What a merge saw: rows, rows it added, and how many broke each rule. ``added`` is the stored copy of the rows added."""
+    """What a merge saw: rows, rows it added, and how many broke each rule. ``added`` is the stored copy of the rows added; if it wasn't kept, they weren't counted either."""
 
     rows: int
-    appended: int
+    appended: int | None
     broken: dict[str, int]
-    added: DataFrame
+    added: DataFrame | None
 
 
 def merge_observed(
@@ -51,6 +51,7 @@ def merge_observed(
     quarantine: str | None = None,
     bitmaps: KeyBitmaps | None = None,
     flags: Mapping[str, Column] | None = None,
+    follow: bool = True,
 ) -> Merged:
     """Insert-only merge like ``merge_insert_only``, of rows that are expensive to compute.
 
@@ -58,7 +59,8 @@ def merge_observed(
     (conditions over ``rows``), and the span of days. What follows reads the stored columns it needs. A row that breaks a rule fails the merge before the table is touched,
     or goes to the folder ``quarantine``.
 
-    With ``bitmaps`` stored keys are looked up there, whatever the size of the batch; else in the table. The session must run in UTC.
+    With ``bitmaps`` stored keys are looked up there, whatever the size of the batch; else in the table. ``follow=False`` says that nothing else
+    follows the table, so that without bitmaps the rows added need not be kept. The session must run in UTC.
     """
     if on_duplicate not in ("error", "first"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
@@ -99,6 +101,9 @@ def merge_observed(
             keys = [*keys, table.partition]
         find = new_keys_of_small if (found["rows"] or 0) <= SMALL_BATCH else new_keys
         fresh = find(batch, target, keys)
+    if bitmaps is None and not follow:
+        table.append(fresh)
+        return Merged(found["rows"] or 0, None, broken, None)
     # Stored once more, so that what is appended and what follows the table get the same rows.
     added, counted = stage_observed(fresh, f"{folder}/added", {"added": F.count(F.lit(1))})
     if counted["added"]:

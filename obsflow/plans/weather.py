@@ -119,27 +119,33 @@ def load_documents(
     on_duplicate: str = "error",
     strict: bool = True,
 ) -> dict[str, Merged]:
-    """Screen one batch of documents and merge it into the base tables. Gives what each merge saw.
+    """Screen one batch of documents and merge it into the base tables.
 
     ``run`` names the batch: a repeated run replaces its own rejects and adds nothing. With
-    ``strict`` a row that breaks a rule of its table, or has a value that doesn't fit its column, fails the load, as in a database; without, it is
+    ``strict`` a row that breaks a rule of its table fails the load, as in a database; without, it is
     set aside under the rejects of the run and the others are loaded.
 
-    Text is parsed once and each table's rows are computed once, the checks being counted while they are written.
+    Text is parsed once. In a store with a grain each table's rows are computed once too, the checks being counted while they are
+    written, a value that doesn't fit its column breaks a rule (else it is null), and keys are looked up in bitmaps; what each merge saw comes back.
     """
     folder = staging_folder(spark, store.root)
     staged = stage(spark, documents, folder)
     good, rejected = split_documents(staged)
     rejected.write.mode("overwrite").json(store.rejected(run))
     seen = {}
-    for name, rows, table, measures, bitmaps in (
-        ("hourly_weather", flatten_hourly(good, unfit=True), store.hourly, HOURLY_MEASURES, store.hourly_keys),
-        ("current_weather", flatten_current(good, unfit=True), store.current, CURRENT_MEASURES, None),
+    for name, flatten, table, measures in (
+        ("hourly_weather", flatten_hourly, store.hourly, HOURLY_MEASURES),
+        ("current_weather", flatten_current, store.current, CURRENT_MEASURES),
     ):
         aside = None if strict else f"{store.rejected(run)}-{name}"
-        seen[name] = merge_observed(
-            rows, table, f"{folder}-{name}", on_duplicate, quarantine=aside, bitmaps=bitmaps, flags=unfit_flags(measures)
-        )
+        if store.grain is None:
+            merge_insert_only(flatten(good), table, on_duplicate, quarantine=aside)
+        else:
+            hourly = table == store.hourly
+            seen[name] = merge_observed(
+                flatten(good, unfit=True), table, f"{folder}-{name}", on_duplicate, quarantine=aside,
+                bitmaps=store.hourly_keys if hourly else None, flags=unfit_flags(measures), follow=hourly,
+            )
     if store.hourly_days is not None:
         added = seen["hourly_weather"].added
         store.hourly_days.update(added)
