@@ -101,13 +101,13 @@ def _hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             first, _, a, b = runs(words, ends)
             of = words.text[np.flatnonzero(ends)][first]
-            place = np.arange(len(of)) - np.searchsorted(of, of)
+            place = np.arange(len(of)) - np.searchsorted(of, of) + (batch.column(2).to_numpy().astype(np.int64)[start + of] << 32)
             # Later repeats within a text are found again when it is cut.
             new = _new(of, a)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(start + of[new])),
-                    pa.array(place[new].astype(np.int32)),
+                    pa.array(place[new]),
                     pa.array(a[new].view(np.int64)),
                     pa.array(b[new].view(np.int64)),
                 ],
@@ -127,7 +127,7 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = runs[:2, np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
         later = (runs[:2] != first).any(axis=0)
         before = np.concatenate([first[:, -1:], runs[2:, -1:]])
-        yield pa.RecordBatch.from_arrays([pa.array(runs[0, later]), pa.array(runs[1, later].astype(np.int32))], names=["row", "place"])
+        yield pa.RecordBatch.from_arrays([pa.array(runs[0, later]), pa.array(runs[1, later])], names=["row", "place"])
 
 
 def _without(data: np.ndarray, offsets: np.ndarray, named: list[bool], removed: list[list[int] | None]) -> Iterator[tuple[bytes, int, int]]:
@@ -181,15 +181,19 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     """doc_id, text (without repeated sentences), n_sentences, n_removed, for each row.
 
     A null text is empty. The first occurrence is the one of the smallest doc_id, then the earliest place; within one text
-    later repeats go as well. Rows that share a doc_id count as one document, so of such rows with equal text the passages stay in each. A
-    row without doc_id takes no part and keeps its text. A whole copy of an earlier document ends up empty, if it has SENTENCES sentences and WORDS words. Other columns are
-    ignored; an empty table gives an empty result.
+    later repeats go as well. Rows that share a doc_id and a text count as one document, so the passages stay in each; with different texts they are documents of
+    their own, in the order of a hash of the text. A row without doc_id takes no part and keeps its text. A whole copy of an earlier document ends up empty, if it has
+    SENTENCES sentences and WORDS words. Texts of any length are taken whole. Other columns are ignored; an empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place int, a long, b long")
+    # 31 bits that tell texts of one doc_id apart; they travel in the upper half of the place.
+    own = F.xxhash64("text").bitwiseAND(0x7FFFFFFF).cast("int").alias("own")
+    source = source.select("doc_id", "text", own)
+    hashed = source.filter("doc_id IS NOT NULL").mapInArrow(_hash_runs, "row long, place long, a long, b long")
     # One shuffle; sorted runs pass by, so that no hash's runs are gathered.
-    again = hashed.repartition("a", "b").sortWithinPartitions("a", "b", "row", "place").mapInArrow(_later, "row long, place int")
+    again = hashed.repartition("a", "b").sortWithinPartitions("a", "b", "row", "place").mapInArrow(_later, "row long, place long")
     # Places of one document are gathered: no more than it has sentences.
-    spans = again.select("row", "place").distinct().groupBy("row").agg(F.collect_list("place").alias("removed"))
-    joined = source.join(spans, source["doc_id"] == spans["row"], "left").select("doc_id", "text", "removed")
+    places = again.distinct().select("row", F.shiftright("place", 32).cast("int").alias("of"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("place"))
+    spans = places.groupBy("row", "of").agg(F.collect_list("place").alias("removed"))
+    joined = source.join(spans, (source["doc_id"] == spans["row"]) & (source["own"] == spans["of"]), "left").select("doc_id", "text", "removed")
     return joined.mapInArrow(_remove, "doc_id long, text string, n_sentences long, n_removed long")
