@@ -61,10 +61,10 @@ class KeyBitmaps:
     def _set(self, rows: DataFrame, bit: str) -> DataFrame:
         return rows.groupBy(*self.place, "word", self.table.partition).agg(F.bit_or(bit).alias("bits"))
 
-    def absent(self, rows: DataFrame) -> DataFrame:
-        """The rows whose key the table does not hold. Reads the bitmaps of their days, and nothing of the table."""
+    def absent(self, rows: DataFrame, days: list[dt.date] | None = None) -> DataFrame:
+        """The rows whose key the table does not hold. Reads the bitmaps of their days (``days``, if known), and nothing of the table."""
         day = self.table.partition
-        held = self._words.read(rows.sparkSession).filter(among(day, days_of(rows, day)))
+        held = self._words.read(rows.sparkSession).filter(among(day, days_of(rows, day) if days is None else days))
         joined = self._coded(rows).join(held, [*self.place, "word", day], "left")
         return joined.filter((F.coalesce("bits", F.lit(0)).bitwiseAND(F.col("_bit"))) == 0).select(*rows.columns)
 

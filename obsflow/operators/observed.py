@@ -91,8 +91,9 @@ def merge_observed(
     elif not duplicate_keys(batch, table.keys).isEmpty():
         raise QualityError(f"key {table.keys} occurs more than once in the batch")
     if bitmaps is not None:
-        bitmaps.heal(spark, days_of(staged.filter(F.size("broken") == 0), table.partition))
-        fresh = bitmaps.absent(batch)
+        days = days_of(staged.filter(F.size("broken") == 0), table.partition)
+        bitmaps.heal(spark, days)
+        fresh = bitmaps.absent(batch, days)
     else:
         target, keys = table.read(spark), table.keys
         if table.partition:
