@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsflow.registry import bundles, loads, marts, upkeep, values, weather
+from obsflow.registry import bundles, flows, loads, marts, upkeep, values, weather
 from obsflow.registry.inputs import comparable
 from obsflow.session import pin_utc
 
-_MODULES = (marts, weather, loads, upkeep, bundles, values)
+_MODULES = (marts, weather, loads, upkeep, flows, bundles, values)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

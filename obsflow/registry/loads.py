@@ -41,7 +41,7 @@ HOUR_SCHEMA = T.StructType(
 )
 
 
-def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hour_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations at hour grain, where keys do repeat."""
     hour = F.date_trunc("hour", F.col("datetime").cast("timestamp"))
     return observations(spark, sf_dir).select(
@@ -50,7 +50,7 @@ def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hour_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    hours = _hours(spark, sf_dir)
+    hours = hour_rows(spark, sf_dir)
     day = F.dayofmonth("datetime")
     later = hours.withColumn("temp", (F.col("temp") + 1).cast(MEASURE))
     return hours.filter(day <= FIRST_BATCH_END), later.filter(day >= SECOND_BATCH_START)
@@ -94,11 +94,11 @@ def merge_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_per_key(_hours(spark, sf_dir), HOURLY_KEY, ["event_id"])
+    return first_per_key(hour_rows(spark, sf_dir), HOURLY_KEY, ["event_id"])
 
 
 def except_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = _hours(spark, sf_dir).drop("event_id")
+    hours = hour_rows(spark, sf_dir).drop("event_id")
     day = F.dayofmonth("datetime")
     return except_rows(
         hours.filter(day >= SECOND_BATCH_START), hours.filter(day <= FIRST_BATCH_END)
