@@ -1,7 +1,7 @@
 """The nearest place of a gazetteer, exactly, without pairing points with places.
 
 Places are put into a tree of cubes around the unit sphere, each level cutting a cube into
-64. The tree is a table with one row per occupied cube and one place in it. A search goes
+512, of which a sphere meets about a fifth. The tree is a table with one row per occupied cube and one place in it. A search goes
 down level by level as a join of (point, cube) with the cubes below. The distance to the place
 known of any cube bounds the nearest from above, the distance to the cube itself from below, so a
 cube farther than the best place known is dropped. Few cubes per point are left at each
@@ -17,13 +17,13 @@ from obsflow.functions.scalars import as_coordinate
 from obsflow.operators.enrich import ADDRESS, fullest_address
 from obsflow.operators.rounded_join import ROUNDED_KEY, keyed_locations
 
-# Each level splits an axis in 4; the smallest cube measures about 50 m. Places are distinct at
+# Each level splits an axis in 8; the smallest cube measures about 50 m. Places are distinct at
 # four decimals (11 m), so it holds a few dozen at most.
-AXIS_BITS = 2
-DEPTH = 9
+AXIS_BITS = 3
+DEPTH = 6
 LEAF_BITS = AXIS_BITS * DEPTH
-# Levels whose cubes are few whatever the data: at most 64 ** 3.
-SMALL_LEVELS = 3
+# Levels whose cubes are few whatever the data: at most 512 ** 2.
+SMALL_LEVELS = 2
 # Cubes are widened by this much, far more than rounding errors can amount to.
 SLACK = 1e-12
 AXES = ("x", "y", "z")

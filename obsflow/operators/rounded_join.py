@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from obsflow.fixed_values import COORDINATE_SCALE
 from obsflow.functions.scalars import rounded
-from obsflow.operators.skew import salted_join
 
 ROUNDED_KEY = ["_lat_key", "_lon_key"]
 
@@ -31,10 +30,10 @@ def join_on_rounded(
 ) -> DataFrame:
     """Each observation with each location whose rounded coordinates are equal.
 
-    Row-level form: hot coordinates are spread over many tasks. The marts do
+    Row-level form, read once: locations of a size that Spark broadcasts are; else adaptive execution splits the partition of a
+    hot coordinate and reads its few locations for each part. The marts do
     not need it, as they aggregate before they join. Two locations that round to one key
     both match; ``duplicate_keys`` on the rounded key finds such pairs.
     """
-    return salted_join(
-        with_rounded_key(observations, scale), keyed_locations(locations, scale), ROUNDED_KEY
-    ).drop(*ROUNDED_KEY)
+    keyed = with_rounded_key(observations, scale)
+    return keyed.join(keyed_locations(locations, scale), ROUNDED_KEY).drop(*ROUNDED_KEY)

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.fixed_values import DAILY_MAX_VIEW, DAILY_STATS_VIEW
+from obsflow.functions.scalars import as_coordinate
+from obsflow.operators.enrich import lookup_location
 from obsflow.operators.flatten import flatten_current, flatten_hourly, unfit_flags
 from obsflow.operators.key_bitmaps import KeyBitmaps
 from obsflow.operators.merge import merge_insert_only
+from obsflow.operators.nearest import nearest_location, write_place_index
 from obsflow.operators.observed import Merged, merge_observed
 from obsflow.operators.screening import split_documents
 from obsflow.plans.day_summaries import DaySummaries, kept_marts
@@ -32,6 +35,7 @@ from obsflow.sinks.day_tables import days_of
 from obsflow.sinks.files import write_headerless_csv
 from obsflow.sinks.tables import BaseTable, create_view, publish_view
 from obsflow.sources.documents import read_weather_documents
+from obsflow.sources.requests import resolve_locations
 from obsflow.sources.tables import read_headerless_csv
 
 
@@ -203,6 +207,36 @@ def publish_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFra
     return marts
 
 
+def load_locations(
+    spark: SparkSession,
+    requests: DataFrame,
+    gazetteer: DataFrame,
+    store: WeatherStore,
+    nearest: bool = False,
+) -> DataFrame:
+    """The location step: what was asked for, with the address of each place, added to the store's locations.
+
+    A request with two blank coordinates stands for the default locations. Addresses come from the gazetteer's row of the same rounded
+    coordinates, or with ``nearest`` from the nearest one. A coordinate that is no number in range is left out and given back, as text.
+    """
+    pin_utc(spark)
+    wanted = resolve_locations(requests.select("latitude", "longitude"))
+    typed = wanted.select(
+        F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"),
+        as_coordinate(F.col("latitude")).alias("latitude"), as_coordinate(F.col("longitude")).alias("longitude"),
+    )
+    good = F.coalesce(F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180), F.lit(False))
+    places = typed.filter(good).select("latitude", "longitude")
+    if nearest:
+        index = write_place_index(gazetteer, f"{staging_folder(spark, store.root)}-places")
+        found = nearest_location(places, index)
+    else:
+        found = lookup_location(places, gazetteer)
+    staged = stage(spark, found, f"{staging_folder(spark, store.root)}-locations")
+    merge_insert_only(staged, store.location)
+    return typed.filter(~good).select(F.col("_lat").alias("latitude"), F.col("_lon").alias("longitude"))
+
+
 def publish_kept_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFrame]:
     """Four marts over the stored summaries of a store with a grain: both daily ones, monthly peaks and daily extremes."""
     if store.hourly_days is None:

@@ -10,6 +10,7 @@ from obsflow.operators.merge import except_rows, first_per_key, merge_insert_onl
 from obsflow.operators.quality import duplicate_keys, null_counts, over_length
 from obsflow.plans.weather import WeatherStore
 from obsflow.registry.inputs import (
+    EVENTS_PER_DOCUMENT,
     LOCATIONS_SQL,
     OBSERVATIONS_SQL,
     entry_sql,
@@ -155,12 +156,14 @@ def csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of two folders by column name, a missing column being null."""
-    customer = table(spark, sf_dir, "customer").select(
-        F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
-    )
+    """Rows of two landed folders by column name, a missing column being null."""
+    root = work_folder(spark, "lake")
+    customer = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"))
-    return customer.unionByName(supplier, allowMissingColumns=True)
+    for name, rows in (("customer", customer), ("supplier", supplier)):
+        write_layer(rows, root, "raw", name)
+    landed = [read_layer(spark, root, "raw", name) for name in ("customer", "supplier")]
+    return landed[0].unionByName(landed[1], allowMissingColumns=True)
 
 
 def layer_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +177,7 @@ def layer_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, root, "bronze", "customer")
 
 
-def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _incremental(spark: SparkSession, sf_dir: str) -> WeatherStore:
     """Two landed runs, each followed by an incremental load; late corrections are ignored."""
     store = WeatherStore(work_folder(spark, "store"))
     landing = work_folder(spark, "landing")
@@ -185,7 +188,15 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     for stamp, documents in (("20240121000000", first), ("20240131000000", second)):
         land_documents(documents.drop("day"), landing, stamp)
         run_available(spark, landing, store, checkpoint)
-    return store.hourly.read(spark).select("latitude", "longitude", "datetime", "temp")
+    return store
+
+
+def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _incremental(spark, sf_dir).hourly.read(spark).drop("obs_date")
+
+
+def incremental_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _incremental(spark, sf_dir).current.read(spark).drop("obs_date")
 
 
 QUERIES = {
@@ -203,6 +214,7 @@ QUERIES = {
     "union_folders": union_folders,
     "layer_evolution": layer_evolution,
     "incremental_available_now": incremental,
+    "incremental_current": incremental_current,
 }
 
 MERGED_SQL = f"""
@@ -223,6 +235,25 @@ _HOUR_WINDOW = """row_number() OVER (
         PARTITION BY latitude, longitude, datetime
         ORDER BY timezone, temp, feels_like, pressure, humidity, dew_point, uvi) = 1"""
 
+
+
+def _incremental_sql(entries: str, moment: str, window: str) -> str:
+    return f"""
+WITH entries AS ({entries}), loaded AS (
+    SELECT * FROM entries WHERE extract(day FROM ts) <= {FIRST_BATCH_END}
+    QUALIFY {window}
+), added AS (
+    SELECT * REPLACE (CAST(CAST(temp + 1 AS DECIMAL(18,6)) AS DOUBLE) AS temp) FROM entries
+    WHERE extract(day FROM ts) >= {SECOND_BATCH_START}
+    QUALIFY {window}
+)
+SELECT * EXCLUDE (ts) FROM loaded
+UNION ALL
+SELECT * EXCLUDE (ts) FROM added a
+WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.latitude = a.latitude
+                  AND l.longitude = a.longitude AND l.{moment} = a.{moment})"""
+
+
 ORACLES = {
     "merge_two_batches": MERGED_SQL,
     "merge_reruns": MERGED_SQL,
@@ -278,18 +309,11 @@ UNION ALL
 SELECT s_name, NULL FROM supplier""",
     "layer_evolution": """
 SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_name, c_acctbal FROM customer""",
-    "incremental_available_now": f"""
-WITH entries AS (SELECT {entry_sql()}, ts, event_id FROM events), loaded AS (
-    SELECT * FROM entries WHERE extract(day FROM ts) <= {FIRST_BATCH_END}
-    QUALIFY {_HOUR_WINDOW}
-), added AS (
-    SELECT * REPLACE (temp + 1 AS temp) FROM entries
-    WHERE extract(day FROM ts) >= {SECOND_BATCH_START}
-    QUALIFY {_HOUR_WINDOW}
-)
-SELECT latitude, longitude, datetime, temp FROM loaded
-UNION ALL
-SELECT latitude, longitude, datetime, CAST(CAST(temp AS DECIMAL(18,6)) AS DOUBLE) FROM added a
-WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.latitude = a.latitude
-                  AND l.longitude = a.longitude AND l.datetime = a.datetime)""",
+    "incremental_available_now": _incremental_sql(f"SELECT {entry_sql()}, ts FROM events", "datetime", _HOUR_WINDOW),
+    "incremental_current": _incremental_sql(
+        f"""SELECT {entry_sql(now=True)}, ts FROM (SELECT * FROM events QUALIFY row_number() OVER (
+            PARTITION BY user_id, date_trunc('day', ts), event_id // {EVENTS_PER_DOCUMENT} ORDER BY ts DESC, event_id DESC) = 1)""",
+        "requested_datetime",
+        _HOUR_WINDOW.replace("datetime", "requested_datetime").replace("timezone, temp", "timezone, sunrise, sunset, temp"),
+    ),
 }

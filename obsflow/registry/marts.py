@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsflow.fixed_values import DEFAULT_LOCATIONS
 from obsflow.operators.enrich import lookup_location
 from obsflow.operators.nearest import nearest_location, write_place_index
 from obsflow.operators.rounded_join import join_on_rounded
 from obsflow.plans import marts
+from obsflow.plans.weather import WeatherStore, load_locations
 from obsflow.registry.inputs import (
     JOINED_SQL,
     LOCATIONS_SQL,
@@ -20,6 +22,7 @@ from obsflow.registry.inputs import (
     table,
 )
 from obsflow.session import work_folder
+from obsflow.sinks.files import head, preview, write_headerless_csv
 from obsflow.sinks.tables import publish_view
 from obsflow.sources.tables import read_query
 
@@ -67,7 +70,8 @@ def monthly_peak_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rounded_join_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = join_on_rounded(observations(spark, sf_dir), locations(spark, sf_dir))
-    return joined.select("event_id", "datetime", "temp", "city", "state", "postcode", "country")
+    moment = F.date_format("datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("datetime")
+    return joined.select("event_id", moment, "temp", "city", "state", "postcode", "country")
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +95,35 @@ def view_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def location_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested places, some twice, some blank, some no coordinates at all, with their addresses in a store."""
+    asked = points(spark, sf_dir).distinct().select(
+        F.when(F.col("latitude") > 50, "north").otherwise(F.col("latitude").cast("string")).alias("latitude"), F.col("longitude").cast("string").alias("longitude")
+    )
+    blank = spark.range(2).select(F.lit(" ").alias("latitude"), F.lit(None).cast("string").alias("longitude"))
+    store = WeatherStore(work_folder(spark, "store"))
+    for _ in range(2):
+        load_locations(spark, asked.unionByName(asked).unionByName(blank), locations(spark, sf_dir), store)
+    return store.location.read(spark)
+
+
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of a mart in a total order, printed with the schema, and handed on."""
+    mart = marts.daily_max(observations(spark, sf_dir), locations(spark, sf_dir))
+    ordered = mart.orderBy(F.col("date").desc(), "country", "state", "city")
+    preview(ordered)
+    return head(ordered)
+
+
+def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart as one file, and the rows that it holds."""
+    folder = work_folder(spark, "single")
+    mart = marts.daily_max(observations(spark, sf_dir), locations(spark, sf_dir))
+    write_headerless_csv(mart, folder, single_file=True)
+    lines = spark.read.text(folder).select("value", F.col("_metadata.file_name").alias("file"))
+    return lines.agg(F.count_distinct("file").alias("files"), F.count("*").alias("rows"))
+
+
 QUERIES = {
     "rounded_join_daily_stats": daily_stats,
     "rounded_join_daily_max": daily_max,
@@ -101,6 +134,9 @@ QUERIES = {
     "lookup_location": lookup,
     "nearest_location": nearest,
     "view_head": view_head,
+    "location_step": location_step,
+    "preview_rows": preview_rows,
+    "single_file": single_file,
 }
 
 _DAY = "strftime(datetime, '%Y-%m-%d')"
@@ -160,7 +196,7 @@ SELECT DISTINCT nation,
 FROM ranked WHERE place = 1""",
     "rounded_join_rows": f"""
 WITH {JOINED_SQL}
-SELECT event_id, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime,
+SELECT event_id, strftime(datetime, '%Y-%m-%d %H:%M:%S.%f') AS datetime,
        CAST(temp AS DOUBLE) AS temp, city, state, postcode, country
 FROM joined""",
     "lookup_location": f"""
@@ -192,6 +228,23 @@ SELECT CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longit
        place.city AS city, place.state AS state, place.postcode AS postcode,
        place.country AS country
 FROM near""",
+    "location_step": f"""
+WITH {LOCATIONS_SQL}, {POINTS_SQL}, asked AS (
+    SELECT latitude, longitude FROM points WHERE latitude <= 50
+    UNION
+    SELECT * FROM (VALUES {", ".join(f"(CAST('{lat}' AS DECIMAL(9,6)), CAST('{lon}' AS DECIMAL(9,6)))" for lat, lon in DEFAULT_LOCATIONS)})
+)
+SELECT CAST(p.latitude AS DOUBLE) AS latitude, CAST(p.longitude AS DOUBLE) AS longitude, l.city, l.state, l.postcode, l.country
+FROM asked p LEFT JOIN locations l
+  ON round(l.latitude, 4) = round(p.latitude, 4) AND round(l.longitude, 4) = round(p.longitude, 4)""",
+    "preview_rows": f"""
+WITH {JOINED_SQL}
+SELECT country, state, city, {_DAY} AS date, CAST(extract(month FROM datetime) AS BIGINT) AS month,
+       CAST(max(temp) AS DOUBLE) AS max_temperature
+FROM joined GROUP BY ALL ORDER BY date DESC, country, state, city LIMIT 15""",
+    "single_file": f"""
+WITH {JOINED_SQL}
+SELECT 1 AS files, count(DISTINCT (country, state, city, {_DAY})) AS rows FROM joined""",
     "view_head": f"""
 WITH {JOINED_SQL}
 SELECT country, state, city, {_DAY} AS date,

@@ -45,14 +45,22 @@ def current_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_current(_documents(spark, sf_dir))
 
 
-def csv_hand_over(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents exported as CSV, loaded from there, twice, into a base table."""
+def _handed_over(spark: SparkSession, sf_dir: str) -> WeatherStore:
+    """Documents exported as CSV, loaded from there, twice, into the base tables."""
     folder = work_folder(spark, "processed")
     store = WeatherStore(work_folder(spark, "store"))
     export_flat_csv(spark, landed(spark, weather_documents(spark, sf_dir).drop("day")), folder)
     for _ in range(2):
         load_flat_csv(spark, folder, store, on_duplicate="first")
-    return store.current.read(spark).drop("obs_date")
+    return store
+
+
+def csv_hand_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _handed_over(spark, sf_dir).current.read(spark).drop("obs_date")
+
+
+def csv_hand_over_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _handed_over(spark, sf_dir).hourly.read(spark).drop("obs_date")
 
 
 def landing_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +156,7 @@ QUERIES = {
     "hourly_flat": hourly_flat,
     "current_flat": current_flat,
     "csv_hand_over": csv_hand_over,
+    "csv_hand_over_hourly": csv_hand_over_hourly,
     "landing_lineage": landing_lineage,
     "reject_split": reject_split,
     "accepted_responses": accepted,
@@ -192,6 +201,13 @@ WITH latest AS (
 SELECT * FROM flat QUALIFY row_number() OVER (
     PARTITION BY latitude, longitude, requested_datetime
     ORDER BY timezone, sunrise, sunset, temp, feels_like, pressure, humidity) = 1""",
+    "csv_hand_over_hourly": f"""
+SELECT * EXCLUDE (place) FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY latitude, longitude, datetime ORDER BY timezone, temp, feels_like, pressure,
+        humidity, dew_point, uvi, clouds, visibility, wind_speed, wind_deg, wind_gust) AS place
+    FROM (SELECT {entry_sql()} FROM events))
+WHERE place = 1""",
     "landing_lineage": f"""
 SELECT landed, count(DISTINCT (user_id, date_trunc('day', ts), event_id // {EVENTS_PER_DOCUMENT}))
            AS documents,

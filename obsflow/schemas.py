@@ -68,6 +68,7 @@ LOCATION = _struct(
     ("postcode", T.StringType()),
     ("country", T.StringType()),
 )
+REQUEST = _struct(("latitude", T.StringType()), ("longitude", T.StringType()))
 HOURLY_WEATHER = _struct(
     *_STORED_PLACE,
     ("datetime", T.TimestampType()),

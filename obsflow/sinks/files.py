@@ -51,6 +51,11 @@ def as_columnar(documents: DataFrame, label: str = "0") -> DataFrame:
     )
 
 
+def head(rows: DataFrame, count: int = PREVIEW_ROWS) -> DataFrame:
+    """The rows that a preview shows."""
+    return rows.limit(count)
+
+
 def preview(rows: DataFrame, count: int = PREVIEW_ROWS) -> None:
     """Print the first rows, uncut, and the schema."""
     rows.show(count, False)

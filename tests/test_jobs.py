@@ -198,3 +198,40 @@ def test_bad_lines_and_documents_are_kept_in_a_hand_over(spark, tmp_path):
     load_flat_csv(spark, folder, store)
     assert store.hourly.read(spark).count() == 2
     assert [r.line for r in spark.read.json(f"{folder}-rejected/hourly_weather").collect()] == ["too,short"]
+
+
+def test_location_step(spark, tmp_path, locations):
+    from obsflow.plans.weather import load_locations
+
+    requests = spark.createDataFrame([("30.31892", "-81.690201"), ("30.31892", "-81.690201"), ("95", "0"), ("x", "1"), ("1", None), ("", " ")], "latitude string, longitude string")
+    store = WeatherStore(str(tmp_path / "store"))
+    for _ in range(2):
+        left = load_locations(spark, requests, locations, store)
+    assert sorted(map(tuple, left.collect()), key=str) == [("1", None), ("95", "0"), ("x", "1")]
+    rows = store.location.read(spark).collect()
+    assert len(rows) == len({(r.latitude, r.longitude) for r in rows}) == 11
+    assert {(r.latitude, r.city) for r in rows if r.longitude == D("-81.690201")} == {(D("30.318920"), "Jacksonville")}
+    near = WeatherStore(str(tmp_path / "near"))
+    load_locations(spark, requests, locations, near, nearest=True)
+    assert {r.city for r in near.location.read(spark).collect()} == {"Jacksonville"}
+
+
+def test_command_line_of_a_store_with_a_grain(spark, tmp_path, locations, capfd):
+    from obsflow.__main__ import main
+    from obsflow.sinks.files import write_headerless_csv
+
+    places = str(tmp_path / "places")
+    write_headerless_csv(locations, places)
+    (tmp_path / "requests").mkdir()
+    (tmp_path / "requests" / "a.csv").write_text("30.3189,-81.6902\n")
+    spark.sql("CREATE DATABASE IF NOT EXISTS grain_db")
+    options = ["--store", "grain_db", "--rejects", str(tmp_path / "rejected"), "--grain", "3600"]
+    main(["locations", "--requests", str(tmp_path / "requests"), "--gazetteer", places, *options])
+    land(tmp_path / "landing", "1", document(1, [1, 2]))
+    main(["refresh", "--landing", str(tmp_path / "landing"), "--locations", places, "--run", "1", *options])
+    assert spark.table("kept_daily_stats").first().max_temperature == D("2")
+    assert spark.table("kept_daily_extremes").first().max_location == "Jacksonville"
+    land(tmp_path / "lake" / "raw" / "patient", "1", {"total": 1, "entry": [{"resource": {"id": "5"}, "fullUrl": "u"}]})
+    main(["clinical", "--root", str(tmp_path / "lake"), "--resources", "patient", "--whole"])
+    assert "true" in capfd.readouterr().out
+    spark.sql("DROP DATABASE grain_db CASCADE")

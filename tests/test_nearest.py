@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from obsflow.operators.nearest import nearest_location, write_place_index
+from obsflow.operators.nearest import DEPTH, nearest_location, write_place_index
 from obsflow.schemas import LOCATION
 
 
@@ -70,12 +70,12 @@ def test_unknown_coordinates_stay(spark, index):
 
 
 def test_smallest_cubes_hold_few_places(index):
-    crowded = index.filter("level = 10").groupBy("parent").agg(F.count("*").alias("n"))
+    crowded = index.filter(F.col("level") == DEPTH + 1).groupBy("parent").agg(F.count("*").alias("n"))
     assert crowded.agg(F.max("n")).first()[0] <= 40
 
 
 def test_each_search_step_reads_its_own_level(spark, index):
     frame = spark.createDataFrame(points()[:2], "latitude decimal(9,6), longitude decimal(9,6)")
     plan = nearest_location(frame, index)._jdf.queryExecution().executedPlan().toString()
-    assert all(f"(level#" in plan and f" = {level})" in plan for level in range(1, 11))
+    assert all(f"(level#" in plan and f" = {level})" in plan for level in range(1, DEPTH + 2))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
