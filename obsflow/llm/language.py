@@ -5,8 +5,8 @@ front, scores the sum over all ways to write it as pieces of the product of thei
 forward pass. A text scores the product over its words, and languages start out equal. The probabilities are expected counts
 of the training words (forward and backward), from equal ones on, repeated ROUNDS times.
 
-Words are runs of letters. A run of more than BLOCK letters is scored as blocks of that many, so the work is
-linear in the text, which is always used whole.
+Words are runs of letters of any length, scored whole: the forward pass keeps the last states and a running scale, so memory doesn't grow with the run. In training alone a run of more
+than BLOCK letters is counted in parts of that many, of which only the first has the word mark; pieces over their borders are not counted.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ FIT_ROWS = 3000
 SMOOTH = 0.05
 UNKNOWN_SHARE = 1e-7
 CHUNK = 400_000
+#: Letters of long words that are looked up together, and steps after which their states are scaled.
+LONG_LETTERS = 50_000
+RESCALE = 8
 KNOWN_WORDS = 200_000
 UNDETERMINED = "und"
 
@@ -42,11 +45,8 @@ _TIMES = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_in(text: str | None) -> list[str]:
-    """Lower-case runs of letters, cut every BLOCK letters."""
-    found = [w for w in _LETTERS.findall((text or "").lower()) if w.isalpha() or any(map(str.isalpha, w))]
-    if found and max(map(len, found)) > BLOCK:
-        return [w[i : i + BLOCK] for w in found for i in range(0, len(w), BLOCK)]
-    return found
+    """Lower-case runs of letters."""
+    return [w for w in _LETTERS.findall((text or "").lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 class Vocabulary:
@@ -76,9 +76,9 @@ class Vocabulary:
         return len(self.pieces)
 
     def edges(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """For words of one length: (from, to, rows, pieces) of all pieces at these places, by rising ``to``."""
-        size = len(words[0]) + 1
-        letters = np.array([MARK + w for w in words], dtype=f"<U{size}").view(np.uint32).reshape(len(words), size).astype(np.uint64)
+        """For marked words of one length: (from, to, rows, pieces) of all pieces at these places, by rising ``to``."""
+        size = len(words[0])
+        letters = np.array(words, dtype=f"<U{size}").view(np.uint32).reshape(len(words), size).astype(np.uint64)
         rolled = [np.zeros(len(words), dtype=np.uint64)] * size
         for to in range(1, size + 1):
             new = letters[:, to - 1]
@@ -97,6 +97,22 @@ class Vocabulary:
                     yield start, to, rows, pieces
 
 
+    def edges_at(self, letters: np.ndarray, start: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index in ``start``, length, piece) of all pieces that begin at the places ``start`` of ``letters`` and are no longer than ``room``."""
+        found = []
+        state = np.zeros(len(start), dtype=np.uint64)
+        for size in range(1, self.longest + 1):
+            at = np.flatnonzero(room >= size)
+            state[at] = _roll(state[at], letters[start[at] + size - 1])
+            key = mix(state[at])
+            place = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+            hit = self.keys[place] == key if len(self.keys) else np.zeros(len(at), dtype=bool)
+            if size == 1:
+                place, hit = np.where(hit, place, self.unknown), np.ones(len(at), dtype=bool)
+            found.append((at[hit], np.full(int(hit.sum()), size), place[hit]))
+        return tuple(np.concatenate(column) for column in zip(*found))
+
+
 def _roll(state: np.ndarray, letter: np.ndarray) -> np.ndarray:
     return (state + letter + np.uint64(1)) * _TIMES
 
@@ -119,23 +135,76 @@ def _by_length(words: list[str]) -> Iterator[np.ndarray]:
 def log_likelihood(words: list[str], vocabulary: Vocabulary, shares: np.ndarray) -> np.ndarray:
     """Log probability of each word under each column of ``shares``, over all segmentations."""
     out = np.zeros((len(words), shares.shape[1]))
-    for at in _by_length(words):
-        group = [words[i] for i in at]
-        size = len(group[0]) + 1
+    short = [i for i, w in enumerate(words) if len(w) <= BLOCK]
+    for at in _by_length([words[i] for i in short]):
+        group = [MARK + words[short[i]] for i in at]
+        size = len(group[0])
         forward = np.zeros((size + 1, len(group), shares.shape[1]))
         forward[0] = 1
         for start, to, rows, pieces in vocabulary.edges(group):
             forward[to, rows] += forward[start, rows] * shares[pieces]
-        out[at] = np.log(forward[size])
+        out[[short[i] for i in at]] = np.log(forward[size])
+    long = sorted((i for i, w in enumerate(words) if len(w) > BLOCK), key=lambda i: len(words[i]))
+    k = 0
+    while k < len(long):
+        end, letters = k, 0
+        while end < len(long) and (end == k or letters + len(words[long[end]]) <= LONG_LETTERS):
+            letters += len(words[long[end]]) + 1
+            end += 1
+        out[long[k:end]] = _long_likelihood([MARK + words[i] for i in long[k:end]], vocabulary, shares)
+        k = end
+    return out
+
+
+def _long_likelihood(words: list[str], vocabulary: Vocabulary, shares: np.ndarray) -> np.ndarray:
+    """The same for marked words of any lengths, side by side: the states of the last places only, scaled as they shrink."""
+    size = np.array([len(w) for w in words])
+    first = np.cumsum(size) - size
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    ring = vocabulary.longest + 1
+    states = np.zeros((len(words), ring, shares.shape[1]))
+    states[:, 0] = 1
+    scale = np.zeros((len(words), shares.shape[1]))
+    out = np.zeros_like(scale)
+    step = max(LONG_LETTERS // len(words), ring)
+    for begin in range(0, int(size.max()), step):
+        stop = min(begin + step, int(size.max()))
+        low = max(begin - ring, 0)
+        # Every place of every word from which a piece can end in this stretch.
+        span = np.minimum(size, stop) - np.minimum(size, low)
+        word = np.repeat(np.arange(len(words)), span)
+        place = low + np.arange(len(word)) - np.repeat(np.cumsum(span) - span, span)
+        at, length, piece = vocabulary.edges_at(letters, first[word] + place, size[word] - place)
+        to = place[at] + length
+        now = np.flatnonzero((to > begin) & (to <= stop))
+        now = now[np.argsort(to[now], kind="stable")]
+        bounds = np.searchsorted(to[now], np.arange(begin + 1, stop + 2))
+        of = word[at[now]]
+        for t in range(begin + 1, stop + 1):
+            e = slice(bounds[t - begin - 1], bounds[t - begin])
+            rows = of[e]
+            states[:, t % ring] = 0
+            np.add.at(states, (rows, t % ring), states[rows, (t - length[now[e]]) % ring] * shares[piece[now[e]]])
+            done = size == t
+            if done.any():
+                out[done] = np.log(states[done, t % ring]) + scale[done]
+            if t % RESCALE == 0:
+                most = states.max(axis=1)
+                most[most == 0] = 1
+                states /= most[:, None]
+                scale += np.log(most)
     return out
 
 
 def expected_counts(words: list[str], counts: np.ndarray, vocabulary: Vocabulary, share: np.ndarray) -> np.ndarray:
     """How often each piece is used in the words, each segmentation weighed by its probability."""
     total = np.zeros(vocabulary.unknown + 1)
-    for at in _by_length(words):
-        group = [words[i] for i in at]
-        size = len(group[0]) + 1
+    marked = [MARK + w for w in words]
+    parts = [(w[k : k + BLOCK + 1], n) for w, n in zip(marked, counts) for k in range(0, len(w), BLOCK + 1)]
+    counts = np.array([n for _, n in parts], dtype=np.float64)
+    for at in _by_length([w for w, _ in parts]):
+        group = [parts[i][0] for i in at]
+        size = len(group[0])
         edges = list(vocabulary.edges(group))
         forward, backward = np.zeros((size + 1, len(group))), np.zeros((size + 1, len(group)))
         forward[0] = backward[size] = 1
@@ -162,14 +231,17 @@ class LanguageModel:
         flat = [w for words in found for w in words]
         if not self.languages or not flat:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        new = list({w for w in flat if w not in self.place})
-        place = self.place
-        scores = self.known
+        new = sorted({w for w in flat if w not in self.place}, key=len)
+        place, scores = self.place, self.known
         if new:
-            place = place | {w: len(self.known) + i for i, w in enumerate(new)} if len(place) < KNOWN_WORDS else _Later(place, {w: len(self.known) + i for i, w in enumerate(new)})
             scores = np.concatenate([self.known, log_likelihood(new, self.vocabulary, self.shares)])
-            if len(self.place) < KNOWN_WORDS:
-                self.place, self.known = place, scores
+            number = {w: len(self.known) + i for i, w in enumerate(new)}
+            # Words that come again are kept, long ones hardly do.
+            kept = sum(len(w) <= BLOCK for w in new) if len(self.place) < KNOWN_WORDS else 0
+            if kept:
+                self.place = self.place | {w: number[w] for w in new[:kept]}
+                self.known = scores[: len(self.known) + kept]
+            place = self.place if kept == len(new) else _Later(self.place, number)
         at = np.fromiter(map(place.__getitem__, flat), dtype=np.int64, count=len(flat))
         begins = np.concatenate([[0], np.cumsum(sizes)])[:-1]
         some = sizes > 0
@@ -246,7 +318,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     """doc_id, lang_pred, score for every row: the most probable language and its posterior share.
 
     A text that is null or has no letter gets ``und`` and 0, as does every text if no language was learned. Equal
-    scores go to the language whose name is smaller. Other columns are ignored; repeated rows are
+    scores go to the language whose name is smaller. Texts of any length are read whole, runs of letters of any length scored whole. Other columns are ignored; repeated rows are
     predicted alike; an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.vocabulary, model.shares))

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from obsflow.llm import language
 from obsflow.llm.language import MARK, Vocabulary, expected_counts, fit, identify, keep_identified, log_likelihood, predict
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -43,6 +44,38 @@ def test_forward_sums_all_segmentations(vocabulary):
     assert np.allclose(log_likelihood(WORDS, vocabulary, shares), want)
 
 
+def plain_sum(word, vocabulary, shares):
+    """The forward pass in whole fractions of logs, place by place."""
+    place = {p: k for k, p in enumerate(vocabulary.pieces)}
+    word = MARK + word
+    logs = np.full((len(word) + 1, shares.shape[1]), -np.inf)
+    logs[0] = 0
+    for j in range(1, len(word) + 1):
+        for i in range(max(0, j - vocabulary.longest), j):
+            piece = place.get(word[i:j], vocabulary.unknown if j == i + 1 else None)
+            if piece is not None:
+                logs[j] = np.logaddexp(logs[j], logs[i] + np.log(shares[piece]))
+    return logs[-1]
+
+
+def test_long_runs_are_scored_whole(vocabulary, monkeypatch):
+    shares = np.random.default_rng(3).random((vocabulary.unknown + 1, 3)) * 1e-4 + 1e-9
+    long = ["théinternationalisation" * 5, "日本語の" * 40, "a" * 33, "b" * 32, "straßen" * 300, "x" * 1000]
+    want = [plain_sum(w, vocabulary, shares) for w in long]
+    assert np.allclose(log_likelihood(long, vocabulary, shares), want, rtol=1e-10)
+    monkeypatch.setattr(language, "LONG_LETTERS", 100)
+    assert np.allclose(log_likelihood(long, vocabulary, shares), want, rtol=1e-10)
+
+
+def test_a_long_run_is_no_chain_of_words(vocabulary):
+    shares = np.full((vocabulary.unknown + 1, 1), 1e-3)
+    hundred = "abcdefghij" * 10
+    place = {p: k for k, p in enumerate(vocabulary.pieces)}
+    marked = np.array([p.startswith(MARK) for p in vocabulary.pieces])
+    counts = expected_counts([hundred], np.ones(1), vocabulary, shares[:, 0])
+    assert np.isclose(counts[:-1][marked].sum(), 1) and place
+
+
 def test_expected_counts_are_those_of_all_segmentations(vocabulary):
     share = np.random.default_rng(2).random(vocabulary.unknown + 1) + 0.01
     want = np.zeros(vocabulary.unknown + 1)
