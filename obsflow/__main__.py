@@ -13,11 +13,14 @@ from obsflow.fixed_values import BUNDLE_RESOURCES, DAILY_MAX_VIEW, DAILY_STATS_V
 from obsflow.plans.clinical import bundle_balance, patient_to_silver, raw_to_bronze, raw_to_whole_bronze
 from obsflow.plans.report import show_view
 from obsflow.plans.weather import (
+    EXTREMES_VIEW,
+    PEAK_VIEW,
     WeatherStore,
     export_flat_csv,
     load_locations,
     publish_kept_marts,
     publish_marts,
+    publish_peaks,
     refresh_weather,
 )
 from obsflow.schemas import LOCATION, REQUEST
@@ -60,7 +63,7 @@ def parser() -> argparse.ArgumentParser:
     report = jobs.add_parser("report", help="show the head of a mart")
     report.add_argument("--store", required=True)
     _store_options(report)
-    report.add_argument("--view", choices=[DAILY_MAX_VIEW, DAILY_STATS_VIEW], default=DAILY_MAX_VIEW)
+    report.add_argument("--view", choices=[DAILY_MAX_VIEW, DAILY_STATS_VIEW, PEAK_VIEW, EXTREMES_VIEW], default=DAILY_MAX_VIEW)
 
     clinical = jobs.add_parser("clinical", help="bundles from raw to bronze and silver")
     clinical.add_argument("--root", required=True)
@@ -98,6 +101,7 @@ def main(arguments: list[str] | None = None) -> None:
         export_flat_csv(spark, given.landing, given.folder)
     elif given.job == "report":
         publish_marts(spark, _store(given))
+        publish_peaks(spark, _store(given))
         show_view(spark, given.view)
     elif given.job == "locations":
         requests = read_headerless_csv(spark, given.requests, REQUEST)

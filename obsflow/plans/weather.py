@@ -18,7 +18,7 @@ from obsflow.operators.observed import Merged, merge_observed
 from obsflow.operators.screening import split_documents
 from obsflow.plans.day_summaries import DaySummaries, kept_marts
 from obsflow.plans.mart_views import mart_queries
-from obsflow.plans.marts import daily_max, daily_stats
+from obsflow.plans.marts import daily_extremes, daily_max, daily_stats, monthly_peak
 from obsflow.schemas import (
     CORRUPT_COLUMN,
     CURRENT_KEY,
@@ -38,6 +38,8 @@ from obsflow.sources.documents import read_weather_documents
 from obsflow.sources.requests import resolve_locations
 from obsflow.sources.tables import read_headerless_csv
 
+PEAK_VIEW, EXTREMES_VIEW = "monthly_peak", "daily_extremes"
+
 
 @dataclass(frozen=True)
 class WeatherStore:
@@ -237,6 +239,21 @@ def load_locations(
     return typed.filter(~good).select(F.col("_lat").alias("latitude"), F.col("_lon").alias("longitude"))
 
 
+def publish_peaks(spark: SparkSession, store: WeatherStore, locations: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The two marts as the documentation describes them, as views for this session: one peak per place and month, and each day's extremes over all places."""
+    store.hourly.create(spark)
+    store.location.create(spark)
+    hourly = store.hourly.read(spark)
+    places = store.location.read(spark) if locations is None else locations
+    marts = {
+        PEAK_VIEW: monthly_peak(daily_max(hourly, places), ["country", "state", "city"]),
+        EXTREMES_VIEW: daily_extremes(hourly, places),
+    }
+    for name, mart in marts.items():
+        publish_view(mart, name)
+    return marts
+
+
 def publish_kept_marts(spark: SparkSession, store: WeatherStore) -> dict[str, DataFrame]:
     """Four marts over the stored summaries of a store with a grain: both daily ones, monthly peaks and daily extremes."""
     if store.hourly_days is None:

@@ -10,8 +10,8 @@ from obsflow.functions.scalars import is_blank
 from obsflow.schemas import CORRUPT_COLUMN, WEATHER_DOCUMENT
 
 
-def read_weather_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All documents of a folder, one JSON object per line or per file.
+def read_weather_documents(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """All documents of a folder, one JSON object per line, or per file over any number of lines with ``multiline``.
 
     The schema is fixed, so there is no inference pass and an error payload cannot
     shift columns. Text that is no JSON lands in the corrupt column. Which fields a
@@ -22,6 +22,7 @@ def read_weather_documents(spark: SparkSession, path: str | list[str]) -> DataFr
         spark.read.schema(WEATHER_DOCUMENT)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("multiLine", multiline)
         .json(path)
     )
 

@@ -139,6 +139,9 @@ def test_command_line(spark, tmp_path, locations, capfd):
           "--locations", places, "--run", "1"])
     main(["report", "--store", store, "--view", DAILY_STATS_VIEW])
     assert "Jacksonville" in capfd.readouterr().out
+    main(["report", "--store", store, "--view", "daily_extremes"])
+    assert "Jacksonville" in capfd.readouterr().out
+    assert spark.table("monthly_peak").first().max_temperature == D("2")
     main(["export", "--landing", str(tmp_path / "landing"), "--folder", str(tmp_path / "csv")])
     assert spark.read.csv(str(tmp_path / "csv" / "hourly_weather")).count() == 2
     land(tmp_path / "landing", "2", document(2, [1, 2]))
