@@ -89,6 +89,32 @@ def test_cards_that_run_together_are_added(documents):
     assert found[5001].spans == ""
 
 
+def test_spelled_out_data_is_added_and_plain_numbers_are_not(documents):
+    chance = __import__("random").Random(7)
+    rows = []
+
+    def put(text, span, kind):
+        at = text.find(span) if span else None
+        rows.append((len(rows), text, f"{kind}:{at}:{at + len(span)}" if span else ""))
+
+    for k in range(160):
+        name, part = f"ann{k}", "".join(chance.choice("abcdefgh") for _ in range(6))
+        spelled = f"{name} (at) {part} [dot] org" if k % 2 else f"{name}[at]{part}(dot)com"
+        put(f"You can write to {spelled} any day", spelled, "email")
+        ip = ",".join(str(chance.randrange(256)) for _ in range(4))
+        put(f"the server at {ip} is down", ip, "ip")
+        put(f"scores were {ip} in the end", "", "")
+        put(f"the server at {chance.randrange(300, 900)},{chance.randrange(900)},1,2 is a joke", "", "")
+        phone = f"{chance.randrange(200, 999)}-{chance.randrange(200, 999)}-{chance.randrange(1000, 9999)}"
+        put(f"tel. {phone} after six", phone, "phone")
+        put(f"part no {phone} is sold out", "", "")
+        put(f"call before 2024-{chance.randrange(10, 13)}-{chance.randrange(10, 28)} please", "", "")
+        put(f"Nothing but {chance.randrange(10)} words here", "", "")
+    found = {r.doc_id: r.spans for r in summary(personal_data(documents([(k, t) for k, t, _ in rows]))).collect()}
+    wrong = [(t, found[k], want) for k, t, want in rows if found[k] != want]
+    assert not wrong, wrong[:5]
+
+
 def test_redaction(documents):
     rows = [(1, "Write é@x.yy or me@x.yy or 1.2.3.4!"), (2, None)]
     assert {r.doc_id: r.text for r in redacted(documents(rows)).collect()} == {1: "Write é@x.yy or [email] or [ip]!", 2: ""}
