@@ -33,6 +33,22 @@ def test_each_stage_does_its_work(spark, corpus):
     assert sorted((r.doc_id, r.n_tokens) for r in out) == sorted((r.doc_id, len(library.encode(r.text)) + 2) for r in docs.collect())
 
 
+def test_odd_rows_and_clashing_columns_through_every_stage(spark, documents):
+    text = "the house and the garden of the old town are in the north of the country and by the sea " * 4
+    rows = [(k, f"{text} number {k} " + f"word{k} and the of to in " * 30, "en", "a" if k % 3 else "b") for k in range(60)]
+    rows += [(100, None, "en", None), (101, "", None, "b"), (102, " \n", "en", "b"), (103, rows[5][1], "en", "a"), (None, text, None, None), (104, text * 200, "en", None), (5, rows[5][1], "en", "a")]
+    docs = documents(rows)
+    columns, left = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        assert docs.columns == columns
+        left[name] = {r.doc_id for r in docs.collect()}
+    assert not {100, 101, 102} & left["language_id"] and 103 not in left["exact_dedup"]
+    assert {104, 7} <= left["near_dedup"]
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert out.count() == docs.count()
+
+
 def test_token_ids_and_spans_come_out(spark, documents):
     texts = {1: "Plain words, and more of them.", 2: "Naïve café \u2460 12", 3: None}
     out = corpus_pipeline.STAGES[-1][1](spark, documents(list(texts.items())), SF).collect()
@@ -55,7 +71,7 @@ def test_run_and_empty_documents(spark, documents, tmp_path):
 def test_all_are_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
