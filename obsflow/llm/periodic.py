@@ -12,7 +12,6 @@ of n log n steps, also if it is one long run.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
