@@ -10,7 +10,7 @@ from obsflow.operators.key_bitmaps import KeyBitmaps
 from obsflow.operators.observed import merge_observed
 from obsflow.plans.day_summaries import DaySummaries, kept_marts
 from obsflow.registry.inputs import LOCATIONS_SQL, OBSERVATIONS_SQL, average_sql, locations, observations
-from obsflow.registry.loads import FIRST_BATCH_END, HOUR_SCHEMA, MERGED_SQL, hour_batches, hour_table
+from obsflow.registry.loads import HOUR_SCHEMA, MERGED_SQL, hour_batches, hour_table
 from obsflow.schemas import HOURLY_KEY
 from obsflow.session import work_folder
 from obsflow.sinks.tables import BaseTable
