@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +14,8 @@ from obsflow.sinks.tables import BaseTable
 
 # A batch of up to so many rows is looked for in the target; a larger one is compared with all of it.
 SMALL_BATCH = 1_000_000
+# Up to so many keys that a large batch repeats are sent to every task.
+FEW_REPEATED = 100_000
 
 
 def except_rows(batch: DataFrame, target: DataFrame) -> DataFrame:
@@ -69,6 +74,32 @@ def new_keys_of_small(batch: DataFrame, target: DataFrame, keys: list[str]) -> D
     return batch.join(held, keys, "left_anti")
 
 
+def seen_keys(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key of the batch, how many of its rows have it, and whether the target holds it.
+
+    Only keys are shuffled, each once per task. A key with a null is never held, as in a join.
+    """
+    tagged = batch.select(*keys, F.lit(1).alias("_rows"), F.lit(False).alias("_held")).unionByName(
+        target.select(*keys, F.lit(0).alias("_rows"), F.lit(True).alias("_held"))
+    )
+    whole = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    seen = tagged.groupBy(*keys).agg(F.sum("_rows").alias("_rows"), F.bool_or("_held").alias("_held"))
+    return seen.filter("_rows > 0").withColumn("_held", F.col("_held") & whole)
+
+
+def first_of_repeated(
+    batch: DataFrame, repeated: DataFrame, keys: list[str], order_by: list[str] | None = None
+) -> DataFrame:
+    """What ``first_per_key`` gives, if only the few keys in ``repeated`` occur more than once.
+
+    Rows of all other keys are neither shuffled nor sorted.
+    """
+    again = F.broadcast(repeated.select(*[F.col(k).alias(f"_again_{k}") for k in keys]))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_again_{k}")) for k in keys))
+    firsts = first_per_key(batch.join(again, same, "left_semi"), keys, order_by)
+    return batch.join(again, same, "left_anti").unionByName(firsts)
+
+
 def new_rows(
     batch: DataFrame, target: DataFrame, keys: list[str], order_by: list[str] | None = None
 ) -> DataFrame:
@@ -94,7 +125,8 @@ def merge_insert_only(
 
     ``on_duplicate="error"`` refuses a batch that repeats a key; ``"first"`` keeps the first
     row by ``order_by``. The batch is read several times, so pass a stored table, not a
-    frame that parses text. One writer per table: two merges at once could both add a key.
+    frame that parses text. A large batch is shuffled whole only if many of its keys repeat or some are stored.
+    One writer per table: two merges at once could both add a key.
     """
     if on_duplicate not in ("error", "first"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
@@ -119,7 +151,23 @@ def merge_insert_only(
         target = target.filter(F.col(table.partition).between(found["low"], found["high"]))
     # It is part of the join as well, so that of a wide span only the days that occur are read.
     keys = [*table.keys, table.partition] if span else table.keys
-    if on_duplicate == "first":
+    if found["rows"] <= SMALL_BATCH:
+        if on_duplicate == "first":
+            batch = first_per_key(batch, table.keys, order_by)
+        table.append(new_keys_of_small(batch, target, keys))
+        return
+    # Of a large batch the keys are looked at first: often all or none of them are stored, and few repeat.
+    seen = seen_keys(batch, target, keys)
+    fresh = seen.filter("NOT _held")
+    counts = seen.agg(
+        F.count_if(~F.col("_held")).alias("fresh"),
+        F.count_if(F.col("_held")).alias("held"),
+        F.count_if(~F.col("_held") & (F.col("_rows") > 1)).alias("repeated"),
+    ).first()
+    if counts["fresh"] == 0:
+        return
+    if on_duplicate == "first" and counts["repeated"] > FEW_REPEATED:
         batch = first_per_key(batch, table.keys, order_by)
-    find = new_keys_of_small if found["rows"] <= SMALL_BATCH else new_keys
-    table.append(find(batch, target, keys))
+    elif on_duplicate == "first" and counts["repeated"]:
+        batch = first_of_repeated(batch, fresh.filter("_rows > 1"), table.keys, order_by)
+    table.append(new_keys(batch, target, keys) if counts["held"] else batch)

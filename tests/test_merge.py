@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import types as T
 
+from obsflow.operators import merge
 from obsflow.operators.merge import (
     except_rows,
     first_per_key,
@@ -219,3 +220,40 @@ def test_broken_rows_are_set_aside(spark, tmp_path):
     assert [r.place for r in table.read(spark).collect()] == ["a"]
     broken = spark.read.json(str(tmp_path / "aside")).collect()
     assert sorted(r.broken[0] for r in broken) == ["place is null", "place is too long"]
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_large_batch_keeps_the_first_of_repeated_keys(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(merge, "SMALL_BATCH", 0)
+    monkeypatch.setattr(merge, "FEW_REPEATED", few)
+    table = BaseTable(str(tmp_path / "t"), SCHEMA, KEYS, partition="day", partition_from="moment")
+    merge_insert_only(rows(spark, ("a", 1, 0, "2"), ("a", 1, 0, "1"), ("b", 1, 0, "5"), ("c", 2, 3, None), ("c", 2, 3, "4")), table, "first")
+    stored = {(r.place, r.moment.day): r.temp for r in table.read(spark).collect()}
+    assert stored == {("a", 1): Decimal(1), ("b", 1): Decimal(5), ("c", 2): None}
+    merge_insert_only(rows(spark, ("a", 1, 0, "0"), ("d", 1, 0, "9"), ("d", 1, 0, "8"), ("b", 2, 0, "3"), ("a", 1, 0, "7")), table, "first")
+    stored = sorted((r.place, r.moment.day, r.temp) for r in table.read(spark).filter("place <> 'c'").collect())
+    assert stored == [("a", 1, Decimal(1)), ("b", 1, Decimal(5)), ("b", 2, Decimal(3)), ("d", 1, Decimal(8))]
+    assert table.read(spark).count() == 5
+
+
+def test_large_batch_with_null_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "SMALL_BATCH", 0)
+    table = BaseTable(str(tmp_path / "t"), SCHEMA, KEYS)
+    batch = rows(spark, (None, 1, 0, "2"), (None, 1, 0, "1"), ("b", 1, 0, "5"))
+    for times in (1, 2):
+        merge_insert_only(batch, table, "first")
+        # A null is equal to a null in a batch, but never found in the table.
+        assert sorted((r.place or "", r.temp) for r in table.read(spark).collect()) == [("", Decimal(1))] * times + [("b", Decimal(5))]
+
+
+def test_large_batch_is_sorted_and_joined_only_where_it_must(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "SMALL_BATCH", 0)
+    sizes = []
+    monkeypatch.setattr(merge, "first_per_key", lambda batch, *more: sizes.append(batch.count()) or first_per_key(batch, *more))
+    monkeypatch.setattr(merge, "new_keys", lambda *_: pytest.fail("nothing or everything is stored"))
+    table = BaseTable(str(tmp_path / "t"), SCHEMA, KEYS, partition="day", partition_from="moment")
+    batch = rows(spark, *[("p", 1 + n % 20, n // 20, str(n)) for n in range(100)], ("p", 1, 0, "-1"))
+    for _ in range(2):
+        merge_insert_only(batch, table, "first")
+        assert table.read(spark).count() == 100
+    assert sizes == [2]
